@@ -3,14 +3,17 @@
 A byte goes if a string of ``length`` bytes that covers it starts at another
 place too, in the same or another text.
 
-1. *Anchors.* In every window of ``length`` bytes the least hash of its 128-byte
-   grams (rightmost of equals) is the window's anchor. Equal windows have equal
-   anchors at equal offsets, so only windows under one anchor hash need to be
-   held against each other. Consecutive windows share an anchor; their bytes
-   together are its context.
-2. *Counts.* Anchors that occur once anywhere drop out. Contexts that occur
-   twice in whole repeat in all their windows. Both are counts, combined before
-   the shuffle, so exact copies and passages in a third of all rows are cheap.
+1. *Anchors.* In every window of ``length`` bytes the least hash of its grams
+   (256 bytes of 400; rightmost of equals) is the window's anchor. Equal windows
+   have equal anchors at equal offsets, so only windows under one anchor hash
+   need to be held against each other. Consecutive windows share an anchor;
+   their bytes together are its context.
+2. *Counts.* A first pass counts anchor hashes, nothing else. Those that occur
+   twice are marked in a bitmap of fixed size, and a second pass describes only
+   marked anchors (a false mark costs a row, never a result). Contexts that
+   occur twice in whole repeat in all their windows. These are counts, combined
+   before the shuffle, so exact copies and passages in a third of all rows are
+   cheap.
 3. *Suffixes.* What differs somewhere meets by anchor: the distinct contexts of
    anchors with two or more are laid end to end, a Burrows-Wheeler transform is
    made of them, and breadth-first backward extension of intervals derives the
@@ -42,13 +45,15 @@ LENGTH = 400
 HOT_CONTEXTS = 2048
 #: Bytes of contexts that share one transform.
 BLOCK_BYTES = 2 << 20
-#: Intervals up to this size are spread out symbol by symbol; larger ones use rank queries.
-SMALL = 16
+#: Mixed intervals up to this size are spread out symbol by symbol; larger ones use rank queries.
+SMALL = 64
+#: Bits of the bitmap that marks repeated anchors (8 MiB, whatever the corpus).
+MARK_BITS = 1 << 26
 
 
 def gram_of(length: int) -> int:
-    """Size of the anchors' grams: the largest power of two that is at most a third of the window."""
-    return 1 << max(0, (max(1, length // 3)).bit_length() - 1)
+    """Size of the anchors' grams: the largest power of two that is at most two thirds of the window."""
+    return 1 << max(0, (max(1, length * 2 // 3)).bit_length() - 1)
 
 
 def anchors(raw: bytes, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -119,42 +124,46 @@ def repeated_borders(bwt: np.ndarray, length: int) -> np.ndarray:
     step = np.empty(n, np.int64)  # last-to-first mapping
     step[by_symbol] = np.arange(n)
     where = [by_symbol[start[c] : start[c] + counts[c]] for c in range(len(alphabet))]
+    head = np.zeros(n + 1, bool)  # rows at which a first symbol begins
+    head[start] = True
+    # The end of the run of equal symbols that each row is in.
+    last = np.r_[symbol[1:] != symbol[:-1], True]
+    run_end = np.minimum.accumulate(np.where(last, np.arange(1, n + 1), n)[::-1])[::-1]
     is_open = np.ones(n + 1, bool)
     is_open[0] = is_open[n] = False
     low, high = np.array([0]), np.array([n])
     for _ in range(length):
         if not len(low):
             break
-        lows, highs = [], []
         size = high - low
-        one = size == 1
-        if one.any():
-            lows.append(step[low[one]])
-            highs.append(lows[-1] + 1)
-        few = (size > 1) & (size <= SMALL)
-        if few.any():
+        plain = run_end[low] >= high  # one symbol in front of all: the interval moves as a whole
+        to = step[low[plain]]
+        lows, highs = [to], [to + size[plain]]
+        mixed = ~plain
+        if mixed.any():
+            low, high, size = low[mixed], high[mixed], size[mixed]
+            few = size <= SMALL
             a, s = low[few], size[few]
-            owner = np.repeat(np.arange(len(a)), s)
-            row = np.arange(int(s.sum())) - np.repeat(np.cumsum(s) - s, s) + np.repeat(a, s)
-            key = owner * len(alphabet) + symbol[row]
-            by = np.argsort(key, kind="stable")
-            key, to = key[by], step[row[by]]
-            edge = np.r_[True, key[1:] != key[:-1]]
-            lows.append(to[edge])
-            highs.append(to[np.r_[edge[1:], True]] + 1)
-        many = size > SMALL
-        if many.any():
-            a, b = low[many], high[many]
-            for c in range(len(alphabet)):
-                i, j = np.searchsorted(where[c], a), np.searchsorted(where[c], b)
-                has = i < j
-                lows.append(start[c] + i[has])
-                highs.append(start[c] + j[has])
+            if len(a):
+                ends = np.cumsum(s)
+                owner = np.repeat(np.arange(len(a)), s)
+                row = np.arange(ends[-1]) - np.repeat(ends - s, s) + np.repeat(a, s)
+                # by owner, then by where the mapping leads: symbols come in runs, each a new interval
+                to = step[row]
+                to = to[np.argsort(owner * (n + 1) + to)]
+                edge = np.r_[True, (to[1:] != to[:-1] + 1) | (owner[1:] != owner[:-1]) | head[to[1:]]]
+                lows.append(to[edge])
+                highs.append(to[np.r_[edge[1:], True]] + 1)
+            a, b = low[~few], high[~few]
+            if len(a):
+                for c in range(len(alphabet)):
+                    i, j = np.searchsorted(where[c], a), np.searchsorted(where[c], b)
+                    has = i < j
+                    lows.append(start[c] + i[has])
+                    highs.append(start[c] + j[has])
         low, high = np.concatenate(lows), np.concatenate(highs)
         fresh = is_open[high]
         low, high = low[fresh], high[fresh]
-        high, pick = np.unique(high, return_index=True)  # two strings of one length never end at one place, but be safe
-        low = low[pick]
         is_open[high] = False
     return is_open[:n]
 
@@ -194,13 +203,40 @@ def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return docs.select(F.coalesce(F.col(id_col).cast("string"), F.lit("")).alias("key"), F.xxhash64(text).alias("t1"), F.xxhash64(F.lit(7), text).alias("t2"), text.alias("raw"), F.col(id_col).alias("row_id"))
 
 
-def _anchor_rows(keyed: DataFrame, length: int) -> DataFrame:
+def _anchor_hashes(keyed: DataFrame, length: int) -> DataFrame:
+    """(anchor) of every anchor of every text."""
+
+    def work(batch: pa.RecordBatch) -> pa.RecordBatch:
+        found = [anchors(text.encode("utf-8"), length)[0] for text in texts_of(batch, "raw")]
+        return pa.RecordBatch.from_arrays([pa.array(np.concatenate([*found, np.empty(0, np.uint64)]).view(np.int64))], ["anchor"])
+
+    return map_texts(keyed, ["raw"], "raw", "anchor bigint", work)
+
+
+def _marks(repeated: DataFrame) -> bytes:
+    """MARK_BITS bits, set where a repeated anchor falls; collected in at most MARK_BITS / 2**15 pieces."""
+    place = F.pmod("anchor", F.lit(MARK_BITS))
+    pieces = repeated.select(F.floor(place / 32768).cast("int").alias("piece"), (place % 32768).alias("bit")).groupBy("piece").agg(F.bitmap_construct_agg("bit").alias("bits")).collect()
+    out = bytearray(MARK_BITS // 8)
+    for r in pieces:
+        out[r["piece"] * 4096 : r["piece"] * 4096 + len(r["bits"])] = r["bits"]
+    return bytes(out)
+
+
+def _anchor_rows(keyed: DataFrame, length: int, marks: bytes) -> DataFrame:
+    """Where marked anchors are, and what their contexts hash to."""
+    shipped = keyed.sparkSession.sparkContext.broadcast(marks)
+
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
+        marked = np.frombuffer(shipped.value, np.uint8)
         who, grams, ctx, lo, hi, pos = [], [], [], [], [], []
         for i, text in enumerate(texts_of(batch, "raw")):
             raw = text.encode("utf-8")
             h, at, first, last = anchors(raw, length)
-            if len(h):
+            bit = h & np.uint64(MARK_BITS - 1)
+            keep = np.flatnonzero(marked[bit >> np.uint64(3)] >> (bit & np.uint64(7)).astype(np.uint8) & 1)
+            if len(keep):
+                h, at, first, last = h[keep], at[keep], first[keep], last[keep]
                 who.append(np.full(len(h), i))
                 grams.append(h.view(np.int64))
                 pos.append(at)
@@ -288,9 +324,8 @@ def _by_windows(contexts: DataFrame, length: int) -> DataFrame:
 def repeated_ranges(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id", text_col: str = "text", hot_contexts: int = HOT_CONTEXTS) -> DataFrame:
     """(key, t1, t2, ranges array<struct<first, last>>): starts of repeated windows per text that has any."""
     keyed = _keyed(docs, id_col, text_col)
-    found = materialise(_anchor_rows(keyed, length))
-    often = found.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1").select("anchor")
-    shared = materialise(found.join(often, "anchor"))
+    repeated = _anchor_hashes(keyed, length).groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1")
+    shared = materialise(_anchor_rows(keyed, length, _marks(repeated)))
     by_ctx = shared.groupBy("anchor", "ctx").agg(F.count("*").alias("n"), F.min(F.struct("key", "t1", "t2", "pos", "lo", "hi")).alias("at"))
     by_anchor = by_ctx.groupBy("anchor").agg(F.count("*").alias("n_ctx")).where("n_ctx > 1")
     wanted = by_ctx.join(by_anchor, "anchor").select("anchor", "ctx", "at.*", (F.col("n_ctx") > hot_contexts).alias("hot"))
