@@ -375,3 +375,14 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id"
     return joined.select("row_id", "raw", "ranges").mapInArrow(run, f"`{id_col}` {kind}, n_bytes bigint, n_removed bigint, spans array<struct<`from`:bigint,`to`:bigint>>, kept binary")
 
 
+
+
+def kept_texts(cut_rows: DataFrame, id_col: str = "doc_id") -> DataFrame:
+    """(id, kept_text) of rows of :func:`remove_repeats`: what is left as text, without characters of which only some bytes are left."""
+
+    def work(batch: pa.RecordBatch) -> pa.RecordBatch:
+        left = [(x or b"").decode("utf-8", "ignore") for x in batch.column("kept").to_pylist()]
+        return pa.RecordBatch.from_arrays([batch.column(id_col), pa.array(left, pa.string())], [id_col, "kept_text"])
+
+    kind = cut_rows.schema[id_col].dataType.simpleString()
+    return map_texts(cut_rows, [id_col, "kept"], "kept", f"`{id_col}` {kind}, kept_text string", work)

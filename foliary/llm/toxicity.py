@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from foliary.llm.bpe import WordCache
-from foliary.llm.common import map_texts, texts_of
+from foliary.llm.common import map_texts, text_slices, texts_of
 from foliary.llm.trees import BoostedTrees, isotonic
 
 #: The bound on labelled rows that are fitted.
@@ -221,3 +221,16 @@ def score(docs: DataFrame, model: Model, threshold: float = THRESHOLD, id_col: s
 
     kind = docs.schema[id_col].dataType.simpleString()
     return map_texts(docs, [id_col, text_col], text_col, f"`{id_col}` {kind}, score double, predicted int", work).select(id_col, held_out(F.col(id_col)).alias("held_out"), "score", "predicted")
+
+
+def toxic_filter(docs: DataFrame, model: Model, threshold: float = THRESHOLD, text_col: str = "text") -> DataFrame:
+    """The rows of ``docs``, all columns, that score under the threshold. Row by row: no join, so ids may repeat or be null."""
+    shipped = docs.sparkSession.sparkContext.broadcast(model)
+
+    def run(batches):
+        for batch in batches:
+            for piece in text_slices(batch, text_col):
+                clean = shipped.value.score(texts_of(piece, text_col)) < threshold
+                yield piece.filter(pa.array(clean))
+
+    return docs.mapInArrow(run, docs.schema)
