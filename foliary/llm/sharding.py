@@ -140,10 +140,11 @@ def shard(docs: DataFrame, shards: int = 24, target_bytes: int | None = None, id
     whole = points.agg(F.count("*").alias("n"), F.sum("size").alias("w")).first()
     if target_bytes:
         shards = max(1, -(-(whole["w"] or 0) // target_bytes))
-    # Heavy ties: copies that share one tie value are dealt out by a hash of the id.
+    # Heavy ties: copies that share one tie value are dealt out by a hash of the id. Each weighs over
+    # 1/(64 * shards) of the whole, so there are fewer than 64 * shards of them: a proven bound for the broadcast.
     heavy = points.groupBy("tie").agg(F.sum("size").alias("tie_w")).where(F.col("tie_w") > (whole["w"] or 0) / (64 * shards))
     by_id = F.pmod(F.xxhash64(F.col("id"), F.col("size")), F.lit(TIES)).cast("int")
-    points = materialise(points.join(heavy, "tie", "left").withColumn("tie", F.when(F.col("tie_w").isNull(), F.col("tie")).otherwise(by_id)).drop("tie_w"))
+    points = materialise(points.join(F.broadcast(heavy), "tie", "left").withColumn("tie", F.when(F.col("tie_w").isNull(), F.col("tie")).otherwise(by_id)).drop("tie_w"))
     placed = points.withColumn("shard", grow(points, shards).place().cast("int"))
     parts = max(1, -(-whole["n"] // (shards * SLOT_ROWS)))
     part = F.pmod(F.xxhash64("id", "text_crc32", "size"), F.lit(parts)).cast("int")
