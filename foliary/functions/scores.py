@@ -7,7 +7,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from foliary.functions.text import LINE_END, strip
+from foliary.functions.text import LINE_END, let, strip
 
 #: Weights and thresholds of the page score and of the score before extraction.
 SIGNAL_WEIGHTS = {
@@ -95,10 +95,13 @@ def layout_complexity(text: Column, xs: Column) -> Column:
 def text_flow_consistency(ys: Column) -> Column:
     """Coefficient of variation of the gaps between positions that follow one another, at most 1; 0 of fewer than three."""
     gaps = F.transform(F.slice(ys, F.lit(2), F.greatest(F.size(ys) - 1, F.lit(0))), lambda y, i: F.abs(y - F.get(ys, i)))
-    n = F.size(gaps)
-    mean = F.aggregate(gaps, F.lit(0.0), lambda a, g: a + g) / n
-    var = F.aggregate(gaps, F.lit(0.0), lambda a, g: a + (g - mean) * (g - mean)) / n
-    return F.when(F.coalesce(F.size(ys), F.lit(0)) < 3, 0.0).when(mean == 0, 0.0).otherwise(F.least(F.lit(1.0), F.sqrt(var) / mean))
+
+    def variation(gap: Column, mean: Column) -> Column:
+        var = F.aggregate(gap, F.lit(0.0), lambda a, g: a + (g - mean) * (g - mean)) / F.size(gap)
+        return F.when(mean == 0, 0.0).otherwise(F.least(F.lit(1.0), F.sqrt(var) / mean))
+
+    cv = let(gaps, lambda gap: let(F.aggregate(gap, F.lit(0.0), lambda a, g: a + g) / F.size(gap), lambda mean: variation(gap, mean)))
+    return F.when(F.coalesce(F.size(ys), F.lit(0)) < 3, 0.0).otherwise(cv)
 
 
 def _weighted(signals: Mapping[str, Column], weights: Mapping[str, float]) -> dict[str, Column]:

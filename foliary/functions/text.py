@@ -20,6 +20,11 @@ ANCHOR_FENCE = r"^\s{0,3}(?:```|~~~)"
 MAX_CHARS = 12_000
 
 
+def let(value: Column, body) -> Column:
+    """``body(value)`` with the value computed once: a lambda evaluates what it captures anew for each element, but not its own variable."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def strip(x: Column) -> Column:
     return F.regexp_replace(x, f"^{BLANK}+|{BLANK}+$", "")
 
@@ -73,14 +78,12 @@ def fence_spans(ls: Column) -> Column:
 
 def first_heading_lines(body: Column) -> Column:
     """struct<h1, h2, h3>: the first line of each level outside fences, null if there is none."""
-    ls = lines(body)
-    spans = fence_spans(ls)
 
-    def first(level: int) -> Column:
+    def first(ls: Column, spans: Column, level: int) -> Column:
         found = positions(ls, lambda l: l.rlike(f"^{'#' * level} [^\\n]+$"))
-        return F.array_min(F.filter(found, lambda p: ~F.exists(spans, lambda s: (s["start"] <= p) & (p <= s["stop"]))))
+        return F.array_min(F.filter(found, lambda p: ~F.exists(spans, lambda s: (s["start"] <= p) & (p <= s["stop"])))).alias(f"h{level}")
 
-    return F.struct(first(1).alias("h1"), first(2).alias("h2"), first(3).alias("h3"))
+    return let(lines(body), lambda ls: let(fence_spans(ls), lambda spans: F.struct(*[first(ls, spans, n) for n in (1, 2, 3)])))
 
 
 def heading_verdict(body: Column) -> Column:
@@ -101,18 +104,20 @@ def lint(body: Column, doc_type: Column) -> Column:
 
 def chunk_anchors(body: Column) -> Column:
     """A numbered anchor line before each H1 to H3 outside fences; any fence line toggles."""
-    ls = lines(body)
-    fences = positions(ls, lambda l: l.rlike(ANCHOR_FENCE))
-    is_head = lambda l: l.rlike(ANCHOR_HEADING)
-    heads = F.filter(positions(ls, is_head), lambda p: before(fences, p) % 2 == 0)
-    out = F.transform(ls, lambda l, i: F.when(F.array_contains(heads, i), F.concat(F.format_string('<a id="chunk-%04d"></a>\n', before(heads, i) + 1), l)).otherwise(l))
-    return F.array_join(out, "\n")
+
+    def numbered(ls: Column, heads: Column) -> Column:
+        return F.array_join(F.transform(ls, lambda l, i: F.when(F.array_contains(heads, i), F.concat(F.format_string('<a id="chunk-%04d"></a>\n', before(heads, i) + 1), l)).otherwise(l)), "\n")
+
+    return let(lines(body), lambda ls: let(_anchored(ls), lambda heads: numbered(ls, heads)))
+
+
+def _anchored(ls: Column) -> Column:
+    """Lines of headings that get an anchor."""
+    return let(positions(ls, lambda l: l.rlike(ANCHOR_FENCE)), lambda fences: F.filter(positions(ls, lambda l: l.rlike(ANCHOR_HEADING)), lambda p: before(fences, p) % 2 == 0))
 
 
 def chunk_count(body: Column) -> Column:
-    ls = lines(body)
-    fences = positions(ls, lambda l: l.rlike(ANCHOR_FENCE))
-    return F.size(F.filter(positions(ls, lambda l: l.rlike(ANCHOR_HEADING)), lambda p: before(fences, p) % 2 == 0))
+    return F.size(let(lines(body), _anchored))
 
 
 def normal_levels(levels: Column) -> Column:
@@ -120,20 +125,20 @@ def normal_levels(levels: Column) -> Column:
 
     Closed form of that recurrence: the k-th level is k + min(0, min over j <= k of (level_j - j)).
     """
-    least = F.array_min(levels)
-    gap = F.transform(levels, lambda l, j: l - least + 1 - (j + 1))
-    return F.transform(gap, lambda _, k: k + 1 + F.least(F.lit(0), F.array_min(F.slice(gap, F.lit(1), k + 1))))
+    gaps = let(F.array_min(levels), lambda least: F.transform(levels, lambda l, j: l - least + 1 - (j + 1)))
+    return let(gaps, lambda gap: F.transform(gap, lambda _, k: k + 1 + F.least(F.lit(0), F.array_min(F.slice(gap, F.lit(1), k + 1)))))
 
 
 def normalize_headings(body: Column) -> Column:
     """The body with its ATX heading levels made gapless."""
-    ls = lines(body)
-    heads = positions(ls, lambda l: l.rlike(HEADING))
-    levels = F.transform(heads, lambda p: F.length(F.regexp_extract(F.get(ls, p), HEADING, 1)))
-    wanted = normal_levels(levels)
-    hashes = lambda i: F.repeat(F.lit("#"), F.element_at(wanted, (before(heads, i) + 1).cast("int")))
-    out = F.transform(ls, lambda l, i: F.when(F.array_contains(heads, i), F.concat(hashes(i), F.lit(" "), strip(F.regexp_extract(l, HEADING, 2)))).otherwise(l))
-    return F.when(F.size(heads) == 0, body).otherwise(F.array_join(out, "\n"))
+
+    def written(ls: Column, heads: Column, wanted: Column) -> Column:
+        hashes = lambda i: F.repeat(F.lit("#"), F.element_at(wanted, (before(heads, i) + 1).cast("int")))
+        out = F.transform(ls, lambda l, i: F.when(F.array_contains(heads, i), F.concat(hashes(i), F.lit(" "), strip(F.regexp_extract(l, HEADING, 2)))).otherwise(l))
+        return F.when(F.size(heads) == 0, F.array_join(ls, "\n")).otherwise(F.array_join(out, "\n"))
+
+    levels = lambda ls, heads: F.transform(heads, lambda p: F.length(F.regexp_extract(F.get(ls, p), HEADING, 1)))
+    return let(lines(body), lambda ls: let(positions(ls, lambda l: l.rlike(HEADING)), lambda heads: let(normal_levels(levels(ls, heads)), lambda wanted: written(ls, heads, wanted))))
 
 
 def shift_headings(body: Column, by: int) -> Column:
@@ -173,12 +178,15 @@ def char_bins(text: Column, most: int = MAX_CHARS) -> Column:
 
 def _split_at(text: Column, level: int) -> Column:
     """Pieces that begin at headings of the level outside fences; the text before the first one comes first."""
-    ls = lines(text)
-    spans = fence_spans(ls)
-    at = F.filter(positions(ls, lambda l: l.rlike(f"^ {{0,3}}#{{{level}}}(?:[ \\t]|$)")), lambda p: ~F.exists(spans, lambda s: (s["start"] <= p) & (p <= s["stop"])))
-    cuts = F.array_distinct(F.concat(F.array(F.lit(0)), at))
-    piece = lambda c, k: F.array_join(F.slice(ls, c + 1, F.coalesce(F.get(cuts, k + 1), F.size(ls)) - c), "\n")
-    return F.transform(cuts, piece)
+
+    def cuts(ls: Column, spans: Column) -> Column:
+        at = F.filter(positions(ls, lambda l: l.rlike(f"^ {{0,3}}#{{{level}}}(?:[ \\t]|$)")), lambda p: ~F.exists(spans, lambda s: (s["start"] <= p) & (p <= s["stop"])))
+        return F.array_distinct(F.concat(F.array(F.lit(0)), at))
+
+    def pieces(ls: Column, at: Column) -> Column:
+        return F.transform(at, lambda c, k: F.array_join(F.slice(ls, c + 1, F.coalesce(F.get(at, k + 1), F.size(ls)) - c), "\n"))
+
+    return let(lines(text), lambda ls: let(let(fence_spans(ls), lambda spans: cuts(ls, spans)), lambda at: pieces(ls, at)))
 
 
 def segment(text: Column, most: int = MAX_CHARS) -> Column:

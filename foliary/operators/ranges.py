@@ -42,7 +42,8 @@ def greedy_groups(counts: Column, max_pages: int, needs_ocr: Column | None = Non
     if min(max_pages, ocr_max_pages) < 1:
         raise ValueError("caps must be 1 or more")
     start = F.struct(F.lit(-1).alias("g"), F.lit(0).cast("bigint").alias("sum"), F.lit(None).cast("boolean").alias("ocr"), F.array().cast("array<int>").alias("out"))
-    items = F.transform(counts, lambda c, i: F.struct(c.cast("bigint").alias("n"), (F.get(needs_ocr, i) if needs_ocr is not None else F.lit(False)).alias("ocr")))
+    pair = lambda c, o: F.struct(c.cast("bigint").alias("n"), o.alias("ocr"))
+    items = F.transform(counts, lambda c: pair(c, F.lit(False))) if needs_ocr is None else F.zip_with(counts, needs_ocr, pair)
 
     def step(acc: Column, x: Column) -> Column:
         cap = F.when(x["ocr"], ocr_max_pages).otherwise(max_pages)
