@@ -123,7 +123,7 @@ def repeated_borders(bwt: np.ndarray, length: int) -> np.ndarray:
     by_symbol = np.argsort(symbol, kind="stable")
     step = np.empty(n, np.int64)  # last-to-first mapping
     step[by_symbol] = np.arange(n)
-    where = [by_symbol[start[c] : start[c] + counts[c]] for c in range(len(alphabet))]
+    where = np.split(by_symbol, start[1:])
     head = np.zeros(n + 1, bool)  # rows at which a first symbol begins
     head[start] = True
     # The end of the run of equal symbols that each row is in.
@@ -131,8 +131,12 @@ def repeated_borders(bwt: np.ndarray, length: int) -> np.ndarray:
     run_end = np.minimum.accumulate(np.where(last, np.arange(1, n + 1), n)[::-1])[::-1]
     is_open = np.ones(n + 1, bool)
     is_open[0] = is_open[n] = False
-    low, high = np.array([0]), np.array([n])
-    for _ in range(length):
+    # Strings of one symbol. A symbol met once (each context's end sign is one) has its borders now:
+    # nothing that begins with it can set another, so it need not be put in front again.
+    low, high = start, start + counts
+    is_open[high] = False
+    common = np.flatnonzero(counts > 1).tolist()
+    for _ in range(length - 1):
         if not len(low):
             break
         size = high - low
@@ -156,8 +160,8 @@ def repeated_borders(bwt: np.ndarray, length: int) -> np.ndarray:
                 highs.append(to[np.r_[edge[1:], True]] + 1)
             a, b = low[~few], high[~few]
             if len(a):
-                for c in range(len(alphabet)):
-                    i, j = np.searchsorted(where[c], a), np.searchsorted(where[c], b)
+                for c in common:
+                    i, j = where[c].searchsorted(a), where[c].searchsorted(b)
                     has = i < j
                     lows.append(start[c] + i[has])
                     highs.append(start[c] + j[has])
