@@ -27,10 +27,12 @@ from pyspark.sql import DataFrame
 
 from foliary.llm.common import map_texts, texts_of
 
+#: Pairs of tokens kept in the compatibility table of a worker.
+CACHE_PAIRS = 200_000
 #: White space as Unicode lists it; Python's own \s has four control characters more.
 SPACE = "\t-\r \x85\xa0  -     　"
 #: Pre-tokens kept with their ids in a worker; the memory bound of the cache.
-CACHE_WORDS = 300_000
+CACHE_WORDS = 120_000
 
 
 def byte_characters() -> list[str]:
@@ -173,7 +175,7 @@ class BpeModel:
         key = a * len(self.length) + b
         known = self._pairs.get(key)
         if known is None:
-            if len(self._pairs) > 4 * CACHE_WORDS:
+            if len(self._pairs) > CACHE_PAIRS:
                 self._pairs.clear()
             known = self._pairs[key] = self._border_stands(a, b)
         return known

@@ -17,6 +17,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 #: Text bytes handled at once inside a Python worker; bounds its memory.
 SLICE_BYTES = 4 << 20
+#: Bytes of an Arrow batch on its way to a Python worker.
+BATCH_BYTES = 16 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -74,9 +76,18 @@ def map_texts(df: DataFrame, columns: Iterable[str], column: str, schema: str, w
                 if piece.num_rows:
                     yield work(piece)
 
+    bound_batches(df.sparkSession)
     return df.select(*columns).mapInArrow(run, schema)
 
 
+def bound_batches(spark: SparkSession) -> None:
+    """Lower the session's bound on Arrow batches to BATCH_BYTES, so that long texts do not pile up; a lower one stays."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    now = spark.conf.get(key, None)
+    if now is None or int(spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(now)) > BATCH_BYTES:
+        spark.conf.set(key, BATCH_BYTES)
+
+
 def sorted_groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
     """Groups of equal keys, one table each, from batches in which each key's rows follow one another."""
     held: list[pa.RecordBatch] = []
