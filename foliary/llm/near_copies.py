@@ -10,8 +10,8 @@ with probability s**PICK, and one of all slots' with 1 - (1 - s**PICK)**SLOTS:
 
 Exact copies are folded first. Under a slot value with many texts, pairs are
 formed in Gray order of the whole fingerprints with the nearest of a few
-leaders, so candidates stay linear in the texts; the chance that a pair is
-missed there in all slots is measured in the tests.
+leaders, so candidates stay linear in the texts. There, and only there, a pair
+may be missed in all slots; the tests measure how often.
 """
 
 from __future__ import annotations
@@ -90,10 +90,14 @@ def _slot_pairs(known: DataFrame, hot_slot: int) -> DataFrame:
     keyed = known.select("n", "fp", F.posexplode("slots").alias("slot", "value"))
     sizes = keyed.groupBy("slot", "value").agg(F.count("*").alias("size")).where("size > 1")
     rows = keyed.join(sizes, ["slot", "value"])
-    gray = F.col("fp")
+    # A hot value is cut by leading Gray-rank bits of the fingerprint, turned by another amount in each slot
+    # and no more bits than its size asks for, so that a pair parted in one slot meets in others.
+    turn = f"(64 div {SLOTS}) * slot"
+    gray = F.expr(f"shiftleft(fp, {turn}) | case when slot = 0 then 0L else shiftrightunsigned(fp, 64 - {turn}) end")
     for shift in (1, 2, 4, 8, 16, 32):
         gray = gray.bitwiseXOR(F.shiftrightunsigned(gray, shift))
-    cut = F.when(F.col("size") > hot_slot, F.shiftrightunsigned(gray, 52)).otherwise(0)
+    rows = rows.withColumn("gray", gray).withColumn("bits", F.least(F.lit(12), F.ceil(F.log2(F.col("size") / hot_slot))).cast("int"))
+    cut = F.when(F.col("size") > hot_slot, F.expr("shiftrightunsigned(gray, 64 - bits)")).otherwise(0)
     rows = rows.select("slot", "value", cut.alias("cut"), "fp", "n")
     by = ["slot", "value", "cut"]
 
