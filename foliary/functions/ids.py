@@ -25,7 +25,7 @@ def job_id(source: Column) -> Column:
 
 
 def document_id(job: Column, rel_path: Column, order: Column) -> Column:
-    return short_id(F.concat(job, F.lit(":"), rel_path, F.lit(":"), order.cast("string")))
+    return short_id(F.concat(job, F.lit(":"), posix(rel_path), F.lit(":"), order.cast("string")))
 
 
 def parent_document_id(job: Column, rel_path: Column) -> Column:

@@ -18,7 +18,7 @@ PRE_WEIGHTS = {"image_heavy": 0.9, "form_fields": 1.2, "layout_complexity": 1.1,
 HARD, AGGREGATE, TOLD = 0.7, 0.5, 0.3
 PRE_EXPENSIVE, PRE_CHEAP = 0.7, 0.2
 #: The memory model of optical recognition and its caps.
-OCR_BASE_MB, OCR_PER_MEGAPIXEL, OCR_SCALE, OCR_FLOOR = 1412.84, 15.4942, 2.0, 8
+OCR_BASE_MB, OCR_PER_MEGAPIXEL, OCR_PAGE_MB, OCR_SAFE, OCR_SCALE, OCR_FIXED_CAP = 1412.84, 15.4942, 207.0, 0.6, 2.0, 8
 
 
 def weights_with(defaults: Mapping[str, float], overrides: Mapping[str, float] | None) -> dict[str, float]:
@@ -152,22 +152,26 @@ def jaccard_words(a: Column, b: Column) -> Column:
 # --- resource budgets -------------------------------------------------------------------
 
 
-def page_megapixels(width_pt: Column, height_pt: Column, scale: Column) -> Column:
-    return width_pt * scale * (height_pt * scale) / 1e6
+def page_megapixels(width_pt: Column, height_pt: Column) -> Column:
+    return width_pt * height_pt / 1e6
 
 
-def predicted_peak_mb(megapixels: Column, pages: Column, base: float = OCR_BASE_MB, per: float = OCR_PER_MEGAPIXEL) -> Column:
-    return F.lit(base) + F.lit(per) * megapixels * pages
+def predicted_peak_mb(megapixels: Column, scale: Column, pages: Column) -> Column:
+    return F.lit(OCR_BASE_MB) + F.lit(OCR_PER_MEGAPIXEL) * megapixels * scale * scale * pages
 
 
-def pages_per_group(budget_mb: Column, megapixels: Column, floor: int = OCR_FLOOR, base: float = OCR_BASE_MB, per: float = OCR_PER_MEGAPIXEL) -> Column:
-    """As many pages as the budget holds, at least one, at most ``floor``."""
-    area = F.floor((budget_mb - base) / (F.lit(per) * megapixels))
-    return F.greatest(F.lit(1), F.least(area, F.lit(floor))).cast("int")
+def pages_per_group(available_mb: Column, megapixels: Column, scale: float = OCR_SCALE, safe: float = OCR_SAFE) -> Column:
+    """Pages that the safe share of memory holds, by area and by a floor per page; at least one."""
+    usable = available_mb * safe - OCR_BASE_MB
+    by_floor = F.floor(usable / OCR_PAGE_MB)
+    by_area = F.floor(usable / (F.lit(OCR_PER_MEGAPIXEL) * megapixels * scale * scale))
+    return F.when(usable <= 0, 1).otherwise(F.greatest(F.lit(1), F.least(F.when(megapixels > 0, by_area).otherwise(by_floor), by_floor))).cast("int")
 
 
-def resolved_cap(requested: Column, derived: Column, fallback: int = OCR_FLOOR) -> Column:
-    return F.when(requested >= 1, requested).otherwise(F.coalesce(derived, F.lit(fallback))).cast("int")
+def resolved_cap(available_gb: Column, megapixels: Column) -> Column:
+    """Pages per group from memory and the largest page; the fixed cap where either is unknown."""
+    known = F.coalesce((available_gb > 0) & (megapixels > 0), F.lit(False))
+    return F.when(known, pages_per_group(available_gb * 1000.0, megapixels)).otherwise(OCR_FIXED_CAP).cast("int")
 
 
 def smaller_cap(cap: Column, derived: Column) -> Column:
@@ -175,27 +179,39 @@ def smaller_cap(cap: Column, derived: Column) -> Column:
     return F.greatest(F.lit(1), F.least(cap - 1, F.coalesce(derived, F.floor(cap / 2)))).cast("int")
 
 
-def recovered_scale(scales: Column, width_pt: Column, height_pt: Column, budget_mb: Column) -> Column:
-    """The largest scale at which one page fits the budget; null if none does."""
-    return F.array_max(F.filter(scales, lambda s: predicted_peak_mb(page_megapixels(width_pt, height_pt, s), F.lit(1)) <= budget_mb))
+def recovered_scale(scales: Column, megapixels: Column, available_mb: Column, pages: Column, safe: float = OCR_SAFE) -> Column:
+    """The largest scale at which the pages fit the safe share of memory; null if none does."""
+    return F.array_max(F.filter(scales, lambda s: predicted_peak_mb(megapixels, s, pages) <= available_mb * safe))
 
 
-def host_budget(ram_gb: Column, cpus: Column, pressed: Column) -> Column:
-    """struct<max_pages, max_size_mb, workers> by memory tier; under pressure half the pages."""
-    pages = F.when(ram_gb < 8, 20).when(ram_gb < 16, 50).when(ram_gb < 32, 100).otherwise(200)
-    size = F.when(ram_gb < 8, 10).when(ram_gb < 16, 25).when(ram_gb < 32, 50).otherwise(100)
-    workers = F.greatest(F.lit(1), F.least(F.floor(cpus / 2).cast("int"), F.when(ram_gb < 8, 1).when(ram_gb < 16, 2).when(ram_gb < 32, 4).otherwise(8)))
-    return F.struct(F.when(pressed, F.floor(pages / 2)).otherwise(pages).cast("int").alias("max_pages"), size.alias("max_size_mb"), workers.cast("int").alias("workers"))
+def host_budget(available_gb: Column, cpus: Column, pressed: Column, gpu_gb: Column) -> Column:
+    """struct<max_pages, max_mb, serialize, workers, threads> of a host by memory tier, or by its accelerator; under pressure half the pages, one at a time."""
+    tier = lambda *v: F.when(available_gb < 4, v[0]).when(available_gb < 8, v[1]).when(available_gb < 16, v[2]).when(available_gb < 32, v[3]).otherwise(v[4])
+    gpu = gpu_gb.isNotNull()
+    many = F.greatest(F.floor(cpus / 2), F.lit(1))
+    quarter = F.greatest(F.lit(2), F.floor(cpus / 4))
+    pages = F.when(gpu, F.least(F.lit(200), F.floor(gpu_gb * 25))).otherwise(tier(0, 25, 50, 75, 100))
+    return F.struct(
+        F.when(pressed & (pages > 1), F.greatest(F.floor(pages / 2), F.lit(1))).otherwise(pages).cast("int").alias("max_pages"),
+        F.when(gpu, 80).otherwise(tier(0, 10, 20, 30, 40)).cast("int").alias("max_mb"),
+        (pressed | (~gpu & (available_gb < 16))).alias("serialize"),
+        F.when(gpu, 1).otherwise(tier(1, 1, 1, 2, F.least(many, F.lit(4)))).cast("int").alias("workers"),
+        F.when(gpu, quarter).otherwise(tier(1, 1, 2, 2, quarter)).cast("int").alias("threads"),
+    )
 
 
-def expensive_allowed(enabled: Column, size_mb: Column, pages: Column, max_size_mb: Column, max_pages: Column) -> Column:
-    """"ok", or the first reason against the expensive engine: budget, size, pages."""
-    return F.when(~enabled, "budget").when(size_mb > max_size_mb, "size").when(pages > max_pages, "pages").otherwise("ok")
+def expensive_verdict(budget: Column, size_mb: Column, pages: Column) -> Column:
+    """"ok", or the first reason against the expensive engine: memory, size, pages. An unknown page count passes."""
+    none = (budget["max_pages"] <= 0) | (budget["max_mb"] <= 0)
+    return F.when(none, "insufficient_ram").when(size_mb > budget["max_mb"], "file_too_large").when(pages > budget["max_pages"], "page_count_too_high").otherwise("ok")
 
 
-def engine_choice(requested: Column, layout_available: Column, allowed: Column) -> Column:
-    """"layout" or "heuristic"; null of an engine that is not known. "auto" takes what is there and allowed."""
-    return F.when(requested == "auto", F.when(layout_available & allowed, "layout").otherwise("heuristic")).when(requested.isin("layout", "heuristic"), requested)
+def engine_choice(requested: Column, layout_available: Column, verdict: Column) -> Column:
+    """struct<engine, reason>; null of an engine that is not known. A request by name is kept, "auto" takes what is there and allowed."""
+    known = requested.isin("auto", "layout", "heuristic")
+    named = F.struct(requested.alias("engine"), F.lit("explicit_request").alias("reason"))
+    auto = F.when(~layout_available, F.struct(F.lit("heuristic").alias("engine"), F.lit("engine_unavailable").alias("reason"))).otherwise(F.struct(F.when(verdict == "ok", "layout").otherwise("heuristic").alias("engine"), verdict.alias("reason")))
+    return F.when(known, F.when(requested != "auto", named).otherwise(auto))
 
 
 def percent_change(value: Column, base: Column) -> Column:
@@ -209,4 +225,20 @@ def stability_tier(size_mb: Column) -> Column:
 def reader_verdict(exists: Column, size: Column, mime: Column, trusted: Column, allowed: tuple[str, ...], most: int = 50 << 20) -> Column:
     """"ok", or why a file is not read: missing, too large, type, or untrusted."""
     risky = mime.isin("application/pdf", "application/vnd.openxmlformats-officedocument.wordprocessingml.document")
-    return F.when(~exists, "missing").when(size > most, "size").when(~mime.isin(*allowed), "type").when(risky & ~trusted, "untrusted").otherwise("ok")
+    return F.when(~exists, "missing").when(size > most, "size").when(F.coalesce(~mime.isin(*allowed), F.lit(False)), "type").when(F.coalesce(risky, F.lit(False)) & ~trusted, "untrusted").otherwise("ok")
+
+
+def engine_envelope(raw: Column) -> Column:
+    """struct<text, pages> of an engine's answer: its fields, or the whole answer as one page where it is no such object."""
+    e = F.from_json(raw, "text string, pages array<string>")
+    good = F.coalesce(e["text"].isNotNull() & e["pages"].isNotNull() & ~F.exists(e["pages"], lambda p: p.isNull()), F.lit(False))
+    return F.struct(F.when(good, e["text"]).otherwise(raw).alias("text"), F.when(good, e["pages"]).otherwise(F.array(raw)).alias("pages"))
+
+
+def placeholder_title(title: Column) -> Column:
+    """Titles that say nothing: empty, index, untitled, page numbers."""
+    return F.lower(F.trim(F.coalesce(title, F.lit("")))).rlike(r"^(?:|index|untitled|document|page(?: \d+)?|toc|readme|\d+)$")
+
+
+def usable_lead(paragraph: Column, least: int = 40, most: int = 2000) -> Column:
+    return F.length(F.trim(paragraph)).between(least, most)

@@ -149,10 +149,14 @@ def shift_headings(body: Column, by: int) -> Column:
 
 
 def with_title_h1(body: Column, title: Column) -> Column:
-    """A web body under one H1 of its title: kept if its first heading is that H1, else the title goes on top and the rest one level down."""
-    first = F.get(headings(body), F.lit(0))
-    same = (first["level"] == 1) & (F.lower(first["text"]) == F.lower(strip(title)))
-    return F.when(F.coalesce(same, F.lit(False)), body).otherwise(F.concat(F.lit("# "), title, F.lit("\n\n"), shift_headings(body, 1)))
+    """A web body in heading order under its title: kept if its first heading is the title, else the title goes on top and the rest one level down."""
+
+    def titled(normal: Column) -> Column:
+        first = F.get(headings(normal), F.lit(0))["text"]
+        same = F.coalesce(F.lower(strip(first)) == F.lower(strip(title)), F.lit(False))
+        return F.when(normal == "", F.concat(F.lit("# "), title)).when(same, normal).otherwise(F.concat(F.lit("# "), title, F.lit("\n\n"), shift_headings(normal, 1)))
+
+    return let(strip(normalize_headings(strip(body))), titled)
 
 
 def section_title(body: Column) -> Column:
@@ -228,13 +232,15 @@ def clock_to_ms(stamp: Column) -> Column:
     return F.when(stamp.rlike(form), (n(1) * 3600 + n(2) * 60 + n(3)) * 1000 + ms)
 
 
-def printable(text: Column, most: int = 200) -> Column:
-    """Control and format signs as spaces, at most ``most`` characters."""
-    return F.substring(F.regexp_replace(text, r"\p{C}", " "), 1, most)
+def printable(text: Column) -> Column:
+    """Unprintable characters as spaces."""
+    return F.regexp_replace(text, r"[\p{C}\p{Zl}\p{Zp}]", " ")
 
 
-def clamp_percent(x: Column) -> Column:
-    return F.greatest(F.lit(0), F.least(F.lit(100), x))
+def percent_done(done: Column, total: Column) -> Column:
+    """Whole percent from 0 to 100; 100 of nothing to do, and not before all is done."""
+    pct = F.greatest(F.lit(0), F.least(F.lit(100), F.bround(done * 100 / total)))
+    return F.when(total <= 0, 100).when((done < total) & (pct >= 100), 99).otherwise(pct).cast("int")
 
 
 def yaml_scalar(x: Column) -> Column:

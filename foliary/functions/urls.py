@@ -200,12 +200,17 @@ def backoff_seconds(attempt: Column, base: float = 1.0) -> Column:
     return F.least(F.lit(base) * F.pow(F.lit(2.0), attempt), F.lit(60.0))
 
 
-def staged_path(url: Column) -> Column:
-    """Where a crawled page is kept: sanitized path segments, "index.html" for folders, a hash for query strings."""
-    segments = F.transform(resolve_dots(path(url)), lambda s: F.coalesce(F.nullif(F.regexp_replace(F.regexp_replace(s, "[^A-Za-z0-9._-]+", "-"), "^[.-]+|[.-]+$", ""), F.lit("")), F.lit("page")))
-    p = path(url)
-    folder = (p == "") | p.endswith("/")
-    joined = F.array_join(segments, "/")
-    named = F.when(folder, F.concat_ws("/", F.nullif(joined, F.lit("")), F.lit("index.html"))).when(F.element_at(segments, -1).rlike(r"\.[A-Za-z0-9]+$"), joined).otherwise(F.concat(joined, F.lit(".html")))
-    suffix = F.concat(F.lit("-"), F.substring(F.sha2(query(url), 256), 1, 8))
-    return F.when(query(url) != "", F.regexp_replace(named, r"(\.[A-Za-z0-9]+)$", F.concat(suffix, F.lit("$1")))).otherwise(named)
+def _safe_segment(s: Column) -> Column:
+    cleaned = F.regexp_replace(F.regexp_replace(s, r"[^\p{L}\p{N}._-]", "-"), "^[ ._-]+|[ ._-]+$", "")
+    return F.when(cleaned == "", "page").otherwise(cleaned)
+
+
+def staged_path(url: Column, start_url: Column, taken: Column | None = None) -> Column:
+    """Where a crawled page is kept: page.html for the start, else its cleaned path, "index.html" for folders; a hash of the URL tells apart those with a query or whose path is ``taken``."""
+    parts = F.filter(F.split(_decoded(F.replace(path(url), F.lit("+"), F.lit("%2B"))), "/"), lambda s: s != "")
+    named = F.when(F.size(parts) == 0, F.array(F.lit("index.html"))).when(F.element_at(parts, -1).contains("."), parts).otherwise(F.array_append(parts, F.lit("index.html")))
+    joined = F.array_join(F.transform(named, _safe_segment), "/")
+    ended = F.when(F.lower(joined).rlike(r"\.html?$"), joined).otherwise(F.concat(joined, F.lit(".html")))
+    hashed = F.regexp_replace(ended, r"(\.[^./]+)$", F.concat(F.lit("--"), F.substring(F.sha2(F.encode(url, "UTF-8"), 256), 1, 10), F.lit("$1")))
+    clash = query(url) != "" if taken is None else (query(url) != "") | taken
+    return F.when(url == start_url, "page.html").when(clash, hashed).otherwise(ended)

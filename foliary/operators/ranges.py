@@ -25,12 +25,13 @@ def pages_in_ranges(pages: DataFrame, ranges: DataFrame, key: str = "doc_id", pa
 
 
 def split_ranges(total: Column, max_pages: int, overlap: int = 2) -> Column:
-    """array<struct<chunk, start, stop>> of overlapping chunks: each starts ``max_pages - overlap`` after the one before."""
+    """array<struct<chunk, start, stop>>: one chunk if the pages fit, else overlapping ones, each ``max_pages - overlap`` after the one before."""
     if max_pages <= overlap or overlap < 0:
         raise ValueError("max_pages must exceed an overlap of 0 or more")
     stride = max_pages - overlap
     chunk = lambda s: F.struct((s / stride).cast("int").alias("chunk"), s.alias("start"), F.least(s + max_pages, total).alias("stop"))
-    return F.when(total > 0, F.transform(F.sequence(F.lit(0), total - 1, F.lit(stride)), chunk)).otherwise(F.array().cast("array<struct<chunk:int,start:int,stop:int>>"))
+    whole = F.array(F.struct(F.lit(0).alias("chunk"), F.lit(0).alias("start"), total.cast("int").alias("stop")))
+    return F.when(total > max_pages, F.transform(F.sequence(F.lit(0), total - 1, F.lit(stride)), chunk)).when(total > 0, whole).otherwise(F.array().cast("array<struct<chunk:int,start:int,stop:int>>"))
 
 
 def greedy_groups(counts: Column, max_pages: int, needs_ocr: Column | None = None, ocr_max_pages: int = 8) -> Column:
@@ -75,9 +76,15 @@ def gap_variation(rows: DataFrame, key: str, order: str, value: str) -> DataFram
 
 
 def stitch_markers(pages: DataFrame, overlap: int, key: str = "doc_id") -> DataFrame:
-    """Pages of overlapping chunks (key, chunk, position) without the repeated ones, numbered anew from 1 as ``page``."""
-    kept = pages.where((F.col("chunk") == 0) | (F.col("position") >= overlap))
-    return kept.withColumn("page", F.row_number().over(Window.partitionBy(key).orderBy("chunk", "position")))
+    """Pages of overlapping chunks (key, chunk, position, text) without the repeated ones: adds ``page`` from 1 and ``marked``, the text under its marker.
+
+    A chunk after the first loses its first ``overlap`` pages, unless it has no more than those.
+    """
+    size = F.count("*").over(Window.partitionBy(key, "chunk"))
+    kept = pages.withColumn("size", size).where((F.col("chunk") == 0) | (F.col("size") <= overlap) | (F.col("position") >= overlap)).drop("size")
+    numbered = kept.withColumn("page", F.row_number().over(Window.partitionBy(key).orderBy("chunk", "position")))
+    body = F.regexp_replace("text", r"\s+$", "")
+    return numbered.withColumn("marked", F.concat(F.format_string("<!-- page %d -->", "page"), F.when(body != "", F.concat(F.lit("\n"), body)).otherwise("")))
 
 
 def stitch_bodies(bodies: Column) -> Column:
@@ -87,7 +94,8 @@ def stitch_bodies(bodies: Column) -> Column:
 
     def step(acc: Column, body: Column) -> Column:
         lead = F.nullif(F.regexp_extract(body, r"^\s*# +([^\n]+?)\s*(?:\n|$)", 1), F.lit(""))
-        clean = F.when(lead == acc["last"], F.regexp_replace(body, r"^\s*# +[^\n]*\n*", "")).otherwise(body)
-        return F.struct(F.array_append(acc["out"], clean).alias("out"), F.coalesce(F.try_element_at(h1s(clean), F.lit(-1)), acc["last"]).alias("last"))
+        clean = F.when(lead == acc["last"], F.regexp_replace(body, r"^((?:[^\S\n]*\n)*)#\s[^\n]*(?:\n|$)", "$1")).otherwise(body)
+        kept = ~clean.rlike(r"^\s*$")
+        return F.struct(F.when(kept, F.array_append(acc["out"], clean)).otherwise(acc["out"]).alias("out"), F.coalesce(F.when(kept, F.try_element_at(h1s(clean), F.lit(-1))), acc["last"]).alias("last"))
 
-    return F.aggregate(bodies, start, step, lambda acc: F.array_join(F.filter(acc["out"], lambda b: F.trim(b) != ""), "\n\n"))
+    return F.aggregate(bodies, start, step, lambda acc: F.array_join(acc["out"], "\n\n"))

@@ -145,12 +145,12 @@ def pre_triage_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @_register("""
-select source, bool_or(length(text) < 200 and doc_id % 4 > 0) as needs_ocr, count(*) filter (length(text) < 200 and doc_id % 4 > 0) as ocr_pages, max((612 + doc_id % 100) * 2.0 * (792 + doc_id % 50) * 2.0 / 1e6) as largest_mpx from documents group by source
+select source, bool_or(length(text) < 200 and doc_id % 4 > 0) as needs_ocr, count(*) filter (length(text) < 200 and doc_id % 4 > 0) as ocr_pages, max((612 + doc_id % 100) * (792 + doc_id % 50) / 1e6) as largest_mpx from documents group by source
 """)
 def ocr_need(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = F.col("doc_id")
     need = scores.needs_ocr(F.col("text"), d % 4)
-    size = scores.page_megapixels(d % 100 + 612, d % 50 + 792, F.lit(2.0))
+    size = scores.page_megapixels(d % 100 + 612, d % 50 + 792)
     return _docs(spark, sf_dir).groupBy("source").agg(F.bool_or(need).alias("needs_ocr"), F.count_if(need).alias("ocr_pages"), F.max(size).alias("largest_mpx"))
 
 
@@ -208,7 +208,7 @@ def bin_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("source", F.posexplode(ranges.greedy_groups(F.col("counts"), 40)).alias("page_index", "page_group")).select("source", F.col("page_index").cast("bigint").alias("page_index"), F.col("page_group").cast("bigint").alias("page_group"))
 
 
-@_register("select doc_id, k as chunk, k * 48 as start, least(k * 48 + 50, n) as stop from (select doc_id, length(text) as n, unnest(range(0, (length(text) - 1) // 48 + 1)) as k from documents where length(text) > 0)")
+@_register("select doc_id, k as chunk, k * 48 as start, least(k * 48 + 50, n) as stop from (select doc_id, length(text) as n, unnest(range(0, case when length(text) <= 50 then 1 else (length(text) - 1) // 48 + 1 end)) as k from documents where length(text) > 0)")
 def pdf_split_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
     chunks = ranges.split_ranges(F.length("text"), 50, 2)
     return _docs(spark, sf_dir).select("doc_id", F.explode(chunks).alias("c")).select("doc_id", *[F.col(f"c.{x}").cast("bigint").alias(x) for x in ("chunk", "start", "stop")])
@@ -408,19 +408,25 @@ def ocr_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @_register("""
-with e as (select event_id, 1500 + event_id % 4000 as mb, 1.0 + event_id % 20 as mpx, 1 + event_id % 12 as cap, 1 + event_id % 64 as ram from events)
-select event_id, 1412.84 + 15.4942 * mpx * 3 as peak_mb, cast(greatest(1, least(floor((mb - 1412.84) / (15.4942 * mpx)), 8)) as int) as cap_pages, cast(greatest(1, least(cap - 1, cap // 2)) as int) as retry_cap,
- cast(floor((case when ram < 8 then 20 when ram < 16 then 50 when ram < 32 then 100 else 200 end) / case when event_id % 3 = 0 then 2 else 1 end) as int) as max_pages from e
-""")
+with e as (select event_id, 1500 + event_id % 14000 as mb, 0.2 + event_id % 20 as mpx, 1 + event_id % 12 as cap, 1 + event_id % 64 as ram, event_id % 3 = 0 as pressed),
+t as (select *, (mb * 0.6 - 1412.84) as usable, case when ram < 4 then 0 when ram < 8 then 25 when ram < 16 then 50 when ram < 32 then 75 else 100 end as pages, case when ram < 4 then 0 when ram < 8 then 10 when ram < 16 then 20 when ram < 32 then 30 else 40 end as most from e),
+b as (select *, case when pressed and pages > 1 then greatest(pages // 2, 1) else pages end as p from t)
+select event_id, 1412.84 + 15.4942 * mpx * 4 * 3 as peak_mb, cast(case when usable <= 0 then 1 else greatest(1, least(floor(usable / (15.4942 * mpx * 4)), floor(usable / 207.0))) end as int) as cap_pages, cast(greatest(1, least(cap - 1, cap // 2)) as int) as retry_cap,
+ cast(p as int) as max_pages, case when p <= 0 or most <= 0 then 'insufficient_ram' when cap * 3 > most then 'file_too_large' when event_id % 150 > p then 'page_count_too_high' else 'ok' end as verdict,
+ case when 1412.84 + 15.4942 * mpx * 4 <= mb * 0.6 then 2.0 when 1412.84 + 15.4942 * mpx <= mb * 0.6 then 1.0 end as scale from b
+""".replace("event_id % 3 = 0 as pressed)", "event_id % 3 = 0 as pressed from events)"))
 def ocr_caps(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = F.col("event_id")
-    mb, mpx, cap, ram = e % 4000 + 1500, e % 20 + 1.0, (e % 12 + 1).cast("int"), e % 64 + 1
+    mb, mpx, cap, ram = e % 14000 + 1500, e % 20 + 0.2, (e % 12 + 1).cast("int"), e % 64 + 1
+    budget = scores.host_budget(ram, F.lit(8), e % 3 == 0, F.lit(None).cast("double"))
     return table(spark, sf_dir, "events").select(
         "event_id",
-        scores.predicted_peak_mb(mpx, F.lit(3)).alias("peak_mb"),
+        scores.predicted_peak_mb(mpx, F.lit(2.0), F.lit(3)).alias("peak_mb"),
         scores.pages_per_group(mb, mpx).alias("cap_pages"),
         scores.smaller_cap(cap, F.lit(None).cast("int")).alias("retry_cap"),
-        scores.host_budget(ram, F.lit(8), e % 3 == 0)["max_pages"].alias("max_pages"),
+        budget["max_pages"].alias("max_pages"),
+        scores.expensive_verdict(budget, cap * 3, e % 150).alias("verdict"),
+        scores.recovered_scale(F.array(F.lit(1.0), F.lit(2.0)), mpx, mb, F.lit(1)).alias("scale"),
     )
 
 

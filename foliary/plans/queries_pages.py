@@ -178,3 +178,15 @@ select page_id, regexp_replace(regexp_replace(url, '[^A-Za-z0-9._-]+', '-', 'g')
 def staging_jobs(spark: SparkSession, sf_dir: str) -> DataFrame:
     job = ids.job_id(F.col("url"))
     return table(spark, sf_dir, "pages").select("page_id", ids.slug(F.col("url")).alias("slug"), job.alias("job_id"), ids.cache_path("stage", job).alias("cache_path"), urls.backoff_seconds((F.col("page_id") % 9).cast("double")).alias("backoff"))
+
+
+@_register(r"""
+with p as (select page_id, url, regexp_extract(url, '^https?://[^/?#]*([^?#]*)', 1) as path, regexp_extract(url, '\?([^#]*)', 1) as q from pages),
+s as (select *, trim(path, '/') as t from p), n as (select *, case when t = '' then 'index.html' when regexp_extract(t, '([^/]*)$', 1) like '%.%' then t else t || '/index.html' end as base from s)
+select page_id, case when regexp_matches(base, '\.html?$') then '' else '.html' end is not null as named, case when q <> '' then regexp_replace(base, '\.html$', '') || '--' || substr(sha256(url), 1, 10) || '.html' else base end as staged
+from n where regexp_matches(base, '\.html$') and regexp_matches(base, '^[A-Za-z0-9._/-]+$')
+""")
+def staged_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
+    u = F.col("url")
+    rows = table(spark, sf_dir, "pages").select("page_id", F.lit(True).alias("named"), urls.staged_path(u, F.lit("")).alias("staged"))
+    return rows.where(F.col("staged").rlike(r"^[A-Za-z0-9._/-]+\.html$"))

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from foliary.functions.ids import content_sha256, document_id, job_id
-from foliary.functions.text import chunk_anchors, chunk_count, heading_verdict, headings, normalize_headings, with_title_h1
+from foliary.functions.text import chunk_anchors, chunk_count, heading_verdict, headings, with_title_h1
 from foliary.functions.urls import dedup_key
 from foliary.sources.html import html_to_markdown
 
@@ -16,7 +16,7 @@ def web_documents(pages: DataFrame, source: str = "web_crawl:pages") -> DataFram
     job = job_id(F.lit(source))
     decoded = pages.select("page_id", "url", dedup_key(F.col("url")).alias("canonical_url"), html_to_markdown("html").alias("markdown"))
     titled = decoded.withColumn("title", F.coalesce(F.get(headings(F.col("markdown")), F.lit(0))["text"], F.col("canonical_url")))
-    body = titled.withColumn("body", normalize_headings(with_title_h1(F.col("markdown"), F.col("title"))))
+    body = titled.withColumn("body", with_title_h1(F.col("markdown"), F.col("title")))
     anchored = body.withColumn("body", F.concat(chunk_anchors(F.col("body")), F.lit("\n")))
     return anchored.select(
         "page_id",

@@ -93,7 +93,7 @@ def test_ranges(spark):
 def test_clusters_and_stitching(spark):
     row = spark.createDataFrame([([0.0, 9.0, 18.0, 20.0, 31.0], ["# A\n\nx", "# A\n\ny\n\n# B", "# B\n\nz"])], "xs array<double>, b array<string>").select(scores.x_clusters(F.col("xs")).alias("n"), ranges.stitch_bodies(F.col("b")).alias("s")).first()
     assert row["n"] == 3
-    assert row["s"] == "# A\n\nx\n\ny\n\n# B\n\nz"
+    assert row["s"] == "# A\n\nx\n\n\ny\n\n# B\n\n\nz"
 
 
 def test_urls(spark):

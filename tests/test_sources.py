@@ -71,7 +71,7 @@ def test_docx():
 
 def test_pdf():
     data = pdf_file(b"BT /F1 24 Tf (Big \\(x\\)) Tj ET BT /F1 10 Tf [(Hel) -5 (lo)] TJ <776F726C64> Tj ET", b"BT /F1 10 Tf (two) Tj ET")
-    assert pdf.builtin_pages(data) == ["# Big (x)\n\nHello world", "two"]
+    assert pdf.builtin_pages(data) == ["# Big (x)\nHello world", "two"]
     assert pdf.read_pages(data, "auto")[1] == "two"
     with pytest.raises(ValueError):
         pdf.choose("no-such")
