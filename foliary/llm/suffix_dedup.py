@@ -330,7 +330,8 @@ def repeated_ranges(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id
     keyed = _keyed(docs, id_col, text_col)
     repeated = _anchor_hashes(keyed, length).groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1")
     shared = materialise(_anchor_rows(keyed, length, _marks(repeated)))
-    by_ctx = shared.groupBy("anchor", "ctx").agg(F.count("*").alias("n"), F.min(F.struct("key", "t1", "t2", "pos", "lo", "hi")).alias("at"))
+    # Written out, so that the join by anchor has plain shuffles on both sides, of which Spark can split a hot anchor.
+    by_ctx = materialise(shared.groupBy("anchor", "ctx").agg(F.count("*").alias("n"), F.min(F.struct("key", "t1", "t2", "pos", "lo", "hi")).alias("at")))
     by_anchor = by_ctx.groupBy("anchor").agg(F.count("*").alias("n_ctx")).where("n_ctx > 1")
     wanted = by_ctx.join(by_anchor, "anchor").select("anchor", "ctx", "at.*", (F.col("n_ctx") > hot_contexts).alias("hot"))
     contexts = materialise(_contexts(keyed, wanted, length))
