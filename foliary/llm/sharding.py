@@ -3,11 +3,14 @@
 A document's point is its metadata on four axes of 4,096 steps (size, source,
 language, id). A node that must hold m shards is cut along the axis on which
 its points spread widest, at the weight fraction floor(m/2)/m. The cut is
-found in two bounded histograms per level, over all nodes at once: first the
-step of the axis in which the fraction falls, then, among the points of that
-step, a threshold of a 20-bit hash of the text. So a source that holds a third
-of all rows is cut through, and no data point reaches the driver, only
-histogram rows (at most shards x 4,096 per job).
+found in bounded histograms per level, over all nodes at once: first the step
+of the axis in which the fraction falls, then, among the points of that step, a
+threshold of a 20-bit hash of the text. So a source that holds a third of all
+rows is cut through, and no data point reaches the driver, only histogram rows
+(at most shards x 4,096 per job).
+
+Rows of equal text are a group with the metadata of its first row: no cut goes
+through it, unless it is too heavy for even shards.
 """
 
 from __future__ import annotations
@@ -52,7 +55,7 @@ class Node:
 
 
 def metadata(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """id, size, text_crc32, a tie hash of the text, and the axes; missing metadata columns count as constant."""
+    """id, size, text_crc32, two hashes of the text, a tie value, and the axes; missing metadata columns count as constant."""
     raw = F.coalesce(F.col(text_col), F.lit(""))
     hashed = lambda name: F.pmod(F.xxhash64(F.coalesce(F.col(name).cast("string"), F.lit(""))), F.lit(STEPS)).cast("int") if name in docs.columns else F.lit(0)
     size = F.octet_length(raw).cast("bigint") + 8
@@ -60,6 +63,8 @@ def metadata(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
         F.col(id_col).alias("id"),
         size.alias("size"),
         F.crc32(F.encode(raw, "UTF-8")).cast("bigint").alias("text_crc32"),
+        F.xxhash64(raw).alias("t1"),
+        F.xxhash64(F.lit(7), raw).alias("t2"),
         F.pmod(F.xxhash64(raw, F.lit(1)), F.lit(TIES)).cast("int").alias("tie"),
         F.least(F.lit(STEPS - 1), F.floor(F.log2(size.cast("double")) * (STEPS / 48))).cast("int").alias("x_size"),
         hashed("source").alias("x_source"),
@@ -130,9 +135,8 @@ def shard(docs: DataFrame, shards: int = 24, target_bytes: int | None = None, id
 
     ``target_bytes`` asks for as many leaves as bring each to that size, in
     place of ``shards``. ``size`` is the bytes of the text (none if null) plus
-    8. Rows with equal text and metadata step fall together unless a cut would
-    leave the leaves uneven: a group of copies heavier than 1/64 of a leaf is
-    dealt out by id. Slots count from 0 without gaps in each shard; they are
+    8. Rows of equal text share a leaf, unless together they weigh over 1/64 of
+    one: those are dealt out by id. Slots count from 0 without gaps in each shard; they are
     given out in windows of about SLOT_ROWS rows whose offsets are running sums
     of counts. Null ids, repeated rows and empty tables are fine.
     """
@@ -140,11 +144,16 @@ def shard(docs: DataFrame, shards: int = 24, target_bytes: int | None = None, id
     whole = points.agg(F.count("*").alias("n"), F.sum("size").alias("w")).first()
     if target_bytes:
         shards = max(1, -(-(whole["w"] or 0) // target_bytes))
-    # Heavy ties: copies that share one tie value are dealt out by a hash of the id. Each weighs over
-    # 1/(64 * shards) of the whole, so there are fewer than 64 * shards of them: a proven bound for the broadcast.
-    heavy = points.groupBy("tie").agg(F.sum("size").alias("tie_w")).where(F.col("tie_w") > (whole["w"] or 0) / (64 * shards))
+    # A group heavier than 1/64 of a shard is dealt out by its rows' own metadata and ids. There are fewer than
+    # 64 * shards such groups: a proven bound for the broadcast. The others are small, so their join has no hot key.
+    groups = points.groupBy("t1", "t2").agg(F.sum("size").alias("group_w"), F.min(F.struct("id", *AXES)).alias("rep"))
+    groups = materialise(groups)
+    limit = (whole["w"] or 0) / (64 * shards)
+    heavy = F.broadcast(groups.where(F.col("group_w") > limit).select("t1", "t2"))
     by_id = F.pmod(F.xxhash64(F.col("id"), F.col("size")), F.lit(TIES)).cast("int")
-    points = materialise(points.join(F.broadcast(heavy), "tie", "left").withColumn("tie", F.when(F.col("tie_w").isNull(), F.col("tie")).otherwise(by_id)).drop("tie_w"))
+    loose = points.join(heavy, ["t1", "t2"], "left_semi").withColumn("tie", by_id)
+    tied = points.join(heavy, ["t1", "t2"], "left_anti").drop(*AXES).join(groups.where(F.col("group_w") <= limit).select("t1", "t2", *[F.col(f"rep.{a}").alias(a) for a in AXES]), ["t1", "t2"])
+    points = materialise(loose.unionByName(tied).drop("t1", "t2"))
     placed = points.withColumn("shard", grow(points, shards).place().cast("int"))
     parts = max(1, -(-whole["n"] // (shards * SLOT_ROWS)))
     part = F.pmod(F.xxhash64("id", "text_crc32", "size"), F.lit(parts)).cast("int")
