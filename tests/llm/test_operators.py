@@ -274,6 +274,10 @@ def test_shards(spark, docs, none, table):
     out = sharding.shard(spark.createDataFrame(many, "doc_id bigint, text string, source string"), 24).groupBy("shard").agg(F.sum("size").alias("w")).collect()
     weights = [x["w"] for x in out]
     assert len(weights) == 24 and max(weights) < 1.05 * sum(weights) / 24 and min(weights) > 0.95 * sum(weights) / 24
+    pairs = [(i, f"text {i % 2000}", f"s{i % 7}") for i in range(6000)]
+    pairs += [(None, "text 1", None)]
+    spread = sharding.shard(spark.createDataFrame(pairs, "doc_id bigint, text string, source string"), 24).groupBy("text_crc32").agg(F.countDistinct("shard").alias("n"))
+    assert spread.agg(F.max("n")).first()[0] == 1  # equal texts share a shard
     target = sharding.shard(docs, target_bytes=4000).agg(F.max("shard")).first()[0]
     assert target + 1 == -(-sum(len(t.encode()) + 8 for _, t in table) // 4000)
 
