@@ -88,9 +88,12 @@ def first_heading_lines(body: Column) -> Column:
 
 def heading_verdict(body: Column) -> Column:
     """"skipped" (no H1, no H2, or an H3 before the first H2), "fail" (an H2 or H3 before its parent) or "pass"."""
-    f = first_heading_lines(body)
-    skip = f["h1"].isNull() | f["h2"].isNull() | (f["h3"] < f["h2"])
-    return F.when(F.coalesce(skip, F.lit(False)), "skipped").when((f["h2"] < f["h1"]) | F.coalesce(f["h3"] < f["h1"], F.lit(False)), "fail").otherwise("pass")
+
+    def verdict(f: Column) -> Column:
+        skip = f["h1"].isNull() | f["h2"].isNull() | (f["h3"] < f["h2"])
+        return F.when(F.coalesce(skip, F.lit(False)), "skipped").when((f["h2"] < f["h1"]) | F.coalesce(f["h3"] < f["h1"], F.lit(False)), "fail").otherwise("pass")
+
+    return let(first_heading_lines(body), verdict)
 
 
 def lint(body: Column, doc_type: Column) -> Column:
@@ -161,8 +164,7 @@ def with_title_h1(body: Column, title: Column) -> Column:
 
 def section_title(body: Column) -> Column:
     """Text of the first H1 outside fences."""
-    f = first_heading_lines(body)
-    return strip(F.regexp_replace(F.get(lines(body), f["h1"]), "^# +", ""))
+    return strip(F.regexp_replace(F.get(lines(body), first_heading_lines(body)["h1"]), "^# +", ""))
 
 
 def char_bins(text: Column, most: int = MAX_CHARS) -> Column:
