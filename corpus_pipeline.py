@@ -1,7 +1,12 @@
 """Corpus pipeline: documents to token ids in five stages, each written as Parquet and read again.
 
 A stage is (name, function); a function takes (spark, docs, sf_dir) and returns
-a DataFrame. All but the last return the columns of documents.
+a DataFrame. All but the last return the columns of documents, extra ones too.
+
+Null texts count as empty. Rows with a null id have no name by which a stage
+could keep one and drop another, so they pass all stages that choose by id.
+Rows of equal id are one document from the second stage on. Empty tables give
+empty tables.
 """
 
 from __future__ import annotations
@@ -21,6 +26,11 @@ REPEAT_BYTES = 250
 TOKEN_BUDGET = 0.9
 
 
+def _chosen(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """The rows of the chosen ids, and those without an id."""
+    return docs.where("doc_id is not null").join(ids, "doc_id", "left_semi").unionByName(docs.where("doc_id is null"))
+
+
 def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents scored as toxic go. The model is fitted on labelled rows of the corpus (operator 10)."""
     model = toxicity.train(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
@@ -31,7 +41,8 @@ def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     """Of each group of exact and near copies (five words, similarity 0.8) the document of the smallest id stays (operator 3)."""
     groups = near_copies.near_copy_groups(docs, WORDS, SIMILARITY)
     keep = groups.where(F.col("doc_id") == F.col("component_id")).select("doc_id").distinct()
-    return docs.join(keep, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    kept = _chosen(docs, keep)
+    return kept.where("doc_id is not null").dropDuplicates(["doc_id"]).unionByName(kept.where("doc_id is null"))
 
 
 def suffix_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -50,7 +61,7 @@ def suffix_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents are sampled by probabilities raked to tempered source, language and topic shares (operator 7)."""
     chosen = mixing.mix(docs, TOKEN_BUDGET).where("kept").select("doc_id").distinct()
-    return docs.join(chosen, "doc_id", "left_semi")
+    return _chosen(docs, chosen)
 
 
 def bpe_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
