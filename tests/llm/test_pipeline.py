@@ -82,3 +82,21 @@ def test_token_ids(stages):
     for r in stages[5].collect():
         assert list(np.frombuffer(bytes(r["ids"]), "<u4")) == lib.encode(docs[r["doc_id"]], add_special_tokens=False).ids
     assert stages[5].count() == len(docs)
+
+
+@pytest.mark.parametrize("empty", [False, True])
+def test_odd_rows(spark, tmp_path, empty):
+    """Nulls in any column, empty and long texts, repeated rows, extra columns; and no rows at all."""
+    long = " ".join(f"word{i % 977}x{i % 31}" for i in range(9000))
+    rows = [(1, "a b c d e f", "en", "s", 11, "x"), (1, "a b c d e f", "en", "s", 11, "x"), (2, None, None, None, None, None), (3, "", "en", "s", 0, "x"), (None, "no id here at all", None, "s", 17, "x"), (4, long, "fr", None, len(long), None), (5, long + " tail", "fr", "t", len(long) + 5, "x")]
+    df = spark.createDataFrame([] if empty else rows, "doc_id bigint, text string, lang string, source string, n_chars bigint, score string")
+    df.write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([], "doc_id bigint, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    now = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    for name, stage in cp.STAGES:
+        out = stage(spark, now, str(tmp_path))
+        out.write.parquet(f"{tmp_path}/{name}")
+        before, now = now, spark.read.parquet(f"{tmp_path}/{name}")
+        assert name == "bpe" or now.columns == before.columns
+    ids = [r["doc_id"] for r in now.collect()]
+    assert not ids if empty else None in ids and ids.count(1) <= 1 and 5 not in ids
