@@ -25,7 +25,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from foliary.llm.common import map_texts, texts_of
+from foliary.llm.common import hold, map_texts, texts_of
 
 #: Pairs of tokens kept in the compatibility table of a worker.
 CACHE_PAIRS = 200_000
@@ -122,7 +122,6 @@ class BpeModel:
         self._known = {t: r for r, t in enumerate(self.merges.tokens)}
         self._prove()
         self._pairs: dict[int, bool] = {}
-        self._tables(spec)
         self.cache = WordCache(lambda w: struct.pack(f"<{len(ids := self.word_ids(w))}I", *ids))
 
     def _symbols(self, token: str) -> str:
@@ -248,13 +247,19 @@ class BpeModel:
                 out.append(special.to_bytes(4, "little"))
         return b"".join(out)
 
-    def _tables(self, spec: dict) -> None:
-        """Decoding: one blob of token strings and the offsets at which each id's string starts."""
+
+class OffsetTable:
+    """Decoding: one blob of token strings and the offsets at which each id's string starts."""
+
+    def __init__(self, path: str):
+        with open(path, encoding="utf-8") as f:
+            spec = json.load(f)
+        special = {x["content"]: x["id"] for x in spec["added_tokens"]}
         joined = spec.get("decoder") is None  # then the library puts a space between tokens
         gap = b" " if joined else b""
         back = {c: b for b, c in enumerate(byte_characters())}
-        strings = {i: (t.encode() if joined else bytes(back[c] for c in t)) for t, i in self.vocab.items() if t not in self.special}
-        strings |= {i: t.encode() for t, i in self.special.items()}
+        strings = {i: (t.encode() if joined else bytes(back[c] for c in t)) for t, i in spec["model"]["vocab"].items() if t not in special}
+        strings |= {i: t.encode() for t, i in special.items()}
         size = max(strings) + 1
         pieces = [strings.get(i, b"") + gap for i in range(size)]
         self.offsets = np.zeros(size + 1, np.int64)
@@ -262,7 +267,7 @@ class BpeModel:
         self.blob = np.frombuffer(b"".join(pieces), np.uint8)
         self.gap = len(gap)
 
-    def decode_bytes(self, ids: np.ndarray) -> bytes:
+    def decode(self, ids: np.ndarray) -> bytes:
         if not len(ids):
             return b""
         start, stop = self.offsets[ids], self.offsets[ids.astype(np.int64) + 1]
@@ -294,12 +299,23 @@ class WordCache(dict):
         return out
 
 
-@lru_cache(maxsize=2)
+@lru_cache(maxsize=1)
 def load(path: str) -> BpeModel:
-    """One model per worker and file."""
+    """One model per worker."""
     return BpeModel(path)
 
 
+@lru_cache(maxsize=1)
+def offset_table(path: str) -> OffsetTable:
+    return OffsetTable(path)
+
+
+def release() -> None:
+    """Encoding and decoding follow one another in the same workers, so they are held together."""
+    load.cache_clear()
+    offset_table.cache_clear()
+
+
 def bpe_encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Encode whole texts: (id, n_tokens long, ids binary).
 
@@ -311,6 +327,7 @@ def bpe_encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str
     """
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
+        hold("bpe", release)
         model = load(path)
         ids = [model.encode_bytes(t) for t in texts_of(batch, text_col)]
         return pa.RecordBatch.from_arrays([batch.column(id_col), pa.array([len(x) // 4 for x in ids], pa.int64()), pa.array(ids, pa.binary())], [id_col, "n_tokens", "ids"])
@@ -326,8 +343,9 @@ def bpe_decode(encoded: DataFrame, path: str, id_col: str = "doc_id") -> DataFra
     """
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-        model = load(path)
-        decoded = [model.decode_bytes(np.frombuffer(x or b"", "<u4")).decode("utf-8", "replace") for x in batch.column("ids").to_pylist()]
+        hold("bpe", release)
+        table = offset_table(path)
+        decoded = [table.decode(np.frombuffer(x or b"", "<u4")).decode("utf-8", "replace") for x in batch.column("ids").to_pylist()]
         return pa.RecordBatch.from_arrays([*batch.columns, pa.array(decoded, pa.string())], [id_col, "n_tokens", "ids", "decoded"])
 
     kind = encoded.schema[id_col].dataType.simpleString()

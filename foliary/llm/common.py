@@ -7,6 +7,9 @@ the empty text; rows that repeat a document id are kept as rows of their own.
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import gc
 import tempfile
 import uuid
 from collections.abc import Callable, Iterable, Iterator
@@ -63,6 +66,26 @@ def text_slices(batch: pa.RecordBatch, column: str) -> Iterator[pa.RecordBatch]:
         yield batch.slice(at, step)
 
 
+_holder: tuple[str, Callable[[], None]] | None = None
+
+
+def hold(name: str, release: Callable[[], None] = lambda: None) -> None:
+    """Say which operator this worker works for; what the one before kept in memory is released.
+
+    Spark reuses Python workers, so caches of one operator would otherwise stay
+    beside those of the next.
+    """
+    global _holder
+    if _holder is not None and _holder[0] == name:
+        return
+    if _holder is not None:
+        _holder[1]()
+        gc.collect()
+        with contextlib.suppress(OSError, AttributeError):  # other C libraries have no such call
+            ctypes.CDLL(None).malloc_trim(0)
+    _holder = (name, release)
+
+
 def texts_of(batch: pa.RecordBatch, column: str) -> list[str]:
     return [x or "" for x in batch.column(column).to_pylist()]
 

@@ -20,10 +20,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from foliary.llm.common import map_texts, materialise, sorted_groups, text_slices, texts_of
+from foliary.llm.common import hold, map_texts, materialise, sorted_groups, text_slices, texts_of
 from foliary.llm.components import connected_components
 from foliary.llm.simhash import gray_rank, hashes, link_edges, majority
 
@@ -57,17 +57,23 @@ def _signed(values) -> np.ndarray:
     return np.array(values, np.uint64).view(np.int64)
 
 
-def _described(docs: DataFrame, size: int) -> DataFrame:
+def _described(docs: DataFrame, size: int, id_col: str, text_col: str) -> DataFrame:
+    """(id, t1, t2, fp, slots) of every row: two hashes of the text, its fingerprint, its partial ones. No shuffle."""
+
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
+        hold("near copies")
         fps, slots = [], []
         for text in texts_of(batch, "raw"):
             h = hashes(text, size)
             fps.append(majority(h))
             slots += partial_fingerprints(np.unique(h))
         lists = pa.FixedSizeListArray.from_arrays(pa.array(_signed(slots)), SLOTS).cast(pa.list_(pa.int64()))
-        return pa.RecordBatch.from_arrays([batch.column("t1"), batch.column("t2"), pa.array(_signed(fps)), lists], ["t1", "t2", "fp", "slots"])
+        return pa.RecordBatch.from_arrays([batch.column("id"), batch.column("t1"), batch.column("t2"), pa.array(_signed(fps)), lists], ["id", "t1", "t2", "fp", "slots"])
 
-    return map_texts(docs, ["t1", "t2", "raw"], "raw", "t1 bigint, t2 bigint, fp bigint, slots array<bigint>", work)
+    raw = F.coalesce(F.col(text_col), F.lit(""))
+    rows = docs.select(F.col(id_col).alias("id"), F.xxhash64(raw).alias("t1"), F.xxhash64(F.lit(7), raw).alias("t2"), raw.alias("raw"))
+    kind = docs.schema[id_col].dataType.simpleString()
+    return map_texts(rows, ["id", "t1", "t2", "raw"], "raw", f"id {kind}, t1 bigint, t2 bigint, fp bigint, slots array<bigint>", work)
 
 
 def _pairs_of(fp: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -112,17 +118,16 @@ def _slot_pairs(known: DataFrame, hot_slot: int) -> DataFrame:
     return rows.repartition(*by).sortWithinPartitions(*by).mapInArrow(run, "a bigint, b bigint")
 
 
-def similar_pairs(texts: DataFrame, size: int = 5, similarity: float = 0.8, radius: int = 2, hot_slot: int = HOT_SLOT) -> DataFrame:
-    """(a, b): verified pairs of distinct texts (n, t1, t2, raw), by their numbers n."""
-    known = materialise(_described(texts, size).join(texts.select("n", "t1", "t2"), ["t1", "t2"]).select("n", "t1", "t2", "fp", "slots"))
+def similar_pairs(known: DataFrame, docs: DataFrame, size: int, similarity: float, radius: int, hot_slot: int, id_col: str, text_col: str) -> DataFrame:
+    """(a, b): verified pairs of distinct texts, by their numbers. ``known`` is (n, least, fp, slots): one row per text, ``least`` the id of a row that has it."""
     by_fp = known.groupBy("fp").agg(F.min("n").alias("n"))
     linked = link_edges(by_fp.select("fp"), radius)
     left = by_fp.select(F.col("fp").alias("a"), F.col("n").alias("na"))
     right = by_fp.select(F.col("fp").alias("b"), F.col("n").alias("nb"))
     whole = linked.join(left, "a").join(right, "b").select(F.least("na", "nb").alias("a"), F.greatest("na", "nb").alias("b"))
-    same = known.join(by_fp.withColumnRenamed("n", "least"), "fp").where("n <> least").select(F.col("least").alias("a"), F.col("n").alias("b"))
+    same = known.join(by_fp.withColumnRenamed("n", "first"), "fp").where("n <> first").select(F.col("first").alias("a"), F.col("n").alias("b"))
     pairs = materialise(_slot_pairs(known, hot_slot).union(whole).union(same).distinct())
-    asked = pairs.select(F.col("a").alias("n")).union(pairs.select(F.col("b").alias("n"))).distinct()
+    asked = pairs.select(F.col("a").alias("n")).union(pairs.select(F.col("b").alias("n"))).distinct().join(known.select("n", "least"), "n")
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -130,7 +135,11 @@ def similar_pairs(texts: DataFrame, size: int = 5, similarity: float = 0.8, radi
                 found = [np.unique(hashes(t, size)).tobytes() for t in texts_of(piece, "raw")]
                 yield pa.RecordBatch.from_arrays([piece.column("n"), pa.array(found, pa.binary())], ["n", "shingles"])
 
-    shingles = materialise(texts.join(asked, "n").select("n", "raw").mapInArrow(sets, "n bigint, shingles binary"))
+    # The only shuffle of texts: by id and number, so that no copy of a text is a hot key.
+    raw = F.coalesce(F.col(text_col), F.lit(""))
+    numbered = docs.select(F.col(id_col).alias("least"), _number(F.xxhash64(raw), F.xxhash64(F.lit(7), raw)).alias("n"), raw.alias("raw"))
+    found = numbered.join(asked, ["least", "n"]).select("n", "raw").mapInArrow(sets, "n bigint, shingles binary")
+    shingles = materialise(found.dropDuplicates(["n"]))
     both = pairs.join(shingles.select(F.col("n").alias("a"), F.col("shingles").alias("x")), "a").join(shingles.select(F.col("n").alias("b"), F.col("shingles").alias("y")), "b")
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -156,15 +165,16 @@ def near_copy_groups(docs: DataFrame, size: int = 5, similarity: float = 0.8, ra
     equal each other; texts without words are alike. Rows with a null id keep
     their group's name, or null in a group of such rows only.
     """
-    raw = F.coalesce(F.col(text_col), F.lit(""))
-    marked = docs.select(F.col(id_col).alias("id"), F.xxhash64(raw).alias("t1"), F.xxhash64(F.lit(7), raw).alias("t2"))
-    folded = materialise(marked.groupBy("t1", "t2").agg(F.min("id").alias("least")))
-    # A text is known by a number made of its hashes; of equal texts the row of the smallest id stands for all.
-    number = F.xxhash64("t1", "t2").alias("n")
-    named = folded.select("t1", "t2", "least", number)
-    first = docs.select(F.col(id_col).alias("least"), raw.alias("raw"), F.xxhash64(raw).alias("t1"), F.xxhash64(F.lit(7), raw).alias("t2"))
-    texts = first.join(named.where("least is not null"), ["least", "t1", "t2"]).dropDuplicates(["t1", "t2"]).select("n", "t1", "t2", "raw")
-    parts = connected_components(similar_pairs(texts, size, similarity, radius, hot_slot))
-    member = named.join(parts.withColumnRenamed("vertex", "n"), "n", "left").select("t1", "t2", "least", F.coalesce("component", "n").alias("root"))
+    rows = materialise(_described(docs, size, id_col, text_col))
+    folded = rows.groupBy("t1", "t2").agg(F.min("id").alias("least"), F.first("fp").alias("fp"), F.first("slots").alias("slots"))
+    texts = materialise(folded.select("t1", "t2", _number(F.col("t1"), F.col("t2")).alias("n"), "least", "fp", "slots"))
+    known = texts.where("least is not null").select("n", "least", "fp", "slots")
+    parts = connected_components(similar_pairs(known, docs, size, similarity, radius, hot_slot, id_col, text_col))
+    member = texts.join(parts.withColumnRenamed("vertex", "n"), "n", "left").select("t1", "t2", "least", F.coalesce("component", "n").alias("root"))
     groups = member.groupBy("root").agg(F.min("least").alias("component_id"))
-    return marked.join(member.join(groups, "root").select("t1", "t2", "component_id"), ["t1", "t2"]).select(F.col("id").alias(id_col), "component_id")
+    return rows.select("id", "t1", "t2").join(member.join(groups, "root").select("t1", "t2", "component_id"), ["t1", "t2"]).select(F.col("id").alias(id_col), "component_id")
+
+
+def _number(t1: Column, t2: Column) -> Column:
+    """One number for a text, made of its two hashes."""
+    return F.xxhash64(t1, t2)

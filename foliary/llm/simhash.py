@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from foliary.llm.common import map_texts, materialise, sorted_groups, texts_of
+from foliary.llm.common import hold, map_texts, materialise, sorted_groups, texts_of
 from foliary.llm.components import connected_components
 
 #: Parts that the 64 bits are cut into.
@@ -74,6 +74,7 @@ def fingerprints(docs: DataFrame, size: int = 3, id_col: str = "doc_id", text_co
     """(id, fp bigint) of whole texts, row by row; ``fp`` has the 64 bits in a signed long. Null and blank texts have 0."""
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
+        hold("simhash")
         values = np.array([fingerprint(t, size) for t in texts_of(batch, text_col)], np.uint64).view(np.int64)
         return pa.RecordBatch.from_arrays([batch.column(id_col), pa.array(values)], [id_col, "fp"])
 

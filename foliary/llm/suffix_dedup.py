@@ -36,7 +36,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from foliary.llm.common import map_texts, materialise, sorted_groups, texts_of, text_slices
+from foliary.llm.common import hold, map_texts, materialise, sorted_groups, texts_of, text_slices
 from foliary.llm.windows import gram_hashes, rightmost_minima
 
 #: Bytes of a repeated string.
@@ -44,7 +44,7 @@ LENGTH = 400
 #: Distinct contexts of one anchor that one task takes.
 HOT_CONTEXTS = 2048
 #: Bytes of contexts that share one transform.
-BLOCK_BYTES = 2 << 20
+BLOCK_BYTES = 1 << 20
 #: Mixed intervals up to this size are spread out symbol by symbol; larger ones use rank queries.
 SMALL = 64
 #: Bits of the bitmap that marks repeated anchors (8 MiB, whatever the corpus).
@@ -211,6 +211,7 @@ def _anchor_hashes(keyed: DataFrame, length: int) -> DataFrame:
     """(anchor) of every anchor of every text."""
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
+        hold("suffixes")
         found = [anchors(text.encode("utf-8"), length)[0] for text in texts_of(batch, "raw")]
         return pa.RecordBatch.from_arrays([pa.array(np.concatenate([*found, np.empty(0, np.uint64)]).view(np.int64))], ["anchor"])
 
@@ -277,6 +278,7 @@ def _by_suffixes(contexts: DataFrame, length: int) -> DataFrame:
     """(anchor, ctx, start_from, start_to) of repeated windows, from transforms over whole anchor groups."""
 
     def solve(held: list[pa.Table]) -> pa.RecordBatch:
+        hold("suffixes")
         t = pa.concat_tables(held)
         found = repeated_starts([bytes(x) for x in t.column("content").to_pylist()], length)
         rows = [(a, c, x, y) for a, c, s in zip(t.column("anchor").to_pylist(), t.column("ctx").to_pylist(), found, strict=True) for x, y in runs(s)]

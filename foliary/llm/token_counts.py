@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from foliary.llm.bpe import BpeModel, WordCache, load
-from foliary.llm.common import map_texts, texts_of
+from foliary.llm.common import hold, map_texts, texts_of
 
 
 class TokenCounter:
@@ -51,11 +51,16 @@ class TokenCounter:
         return total
 
 
-@lru_cache(maxsize=2)
+@lru_cache(maxsize=1)
 def counter(path: str) -> TokenCounter:
     return TokenCounter(load(path))
 
 
+def release() -> None:
+    counter.cache_clear()
+    load.cache_clear()
+
+
 def token_counts(docs: DataFrame, path: str, limit: int = 1024, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Count tokens of whole texts: (id, n_bytes, n_tokens, over_limit).
 
@@ -64,6 +69,7 @@ def token_counts(docs: DataFrame, path: str, limit: int = 1024, id_col: str = "d
     """
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
+        hold("token counts", release)
         counts, texts = counter(path), texts_of(batch, text_col)
         n = [counts.count(t) for t in texts]
         size = [len(t) if t.isascii() else len(t.encode()) for t in texts]

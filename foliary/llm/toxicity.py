@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from foliary.llm.bpe import WordCache
-from foliary.llm.common import map_texts, text_slices, texts_of
+from foliary.llm.common import hold, map_texts, text_slices, texts_of
 from foliary.llm.trees import BoostedTrees, isotonic
 
 #: The bound on labelled rows that are fitted.
@@ -104,6 +104,7 @@ class Model:
     def features(self, text: str) -> np.ndarray:
         codes = self.__dict__.get("_codes")
         if codes is None:
+            hold(f"toxicity {id(self)}", lambda: self.__dict__.pop("_codes", None))
             codes = self.__dict__["_codes"] = WordCache(self.code)
             self.weights = np.zeros(len(self.stems) + 1)
             for number, weight in self.stems.values():
