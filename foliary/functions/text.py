@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 #: Line ends as Unicode names them, for operators that break at all of them.
 LINE_END = "\r\n|[\n\r\x0b\x0c\x1c-\x1e\x85  ]"
 #: White space that stripping takes away.
-BLANK = "[\\t-\\r\\x1c-\\x20\\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000]"
+BLANK = "\t\n\x0b\f\r\x1c\x1d\x1e\x1f \x85\xa0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + "\u2028\u2029\u202f\u205f\u3000"
 HEADING = r"^(#{1,6})\s+(.+?)\s*$"
 ANCHOR_HEADING = r"^#{1,3}\s+\S"
 ANCHOR_FENCE = r"^\s{0,3}(?:```|~~~)"
@@ -26,7 +26,7 @@ def let(value: Column, body) -> Column:
 
 
 def strip(x: Column) -> Column:
-    return F.regexp_replace(x, f"^{BLANK}+|{BLANK}+$", "")
+    return F.btrim(x, F.lit(BLANK))
 
 
 def lines(body: Column) -> Column:

@@ -122,8 +122,8 @@ with s as ({_SIGNALS_SQL}), m as (select *, {_MEAN} as aggregate, greatest({", "
 
 @_register(_SCORED_SQL + "select doc_id, aggregate, (hard >= 0.7 or aggregate >= 0.5) as needs_repair, case when hard < 0.7 and aggregate < 0.5 then 'ok' when told = '' then 'aggregate' else told end as reason from m")
 def page_score(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows, signals = _signals(_docs(spark, sf_dir))
-    return rows.select("doc_id", scores.page_score(signals).alias("s")).select("doc_id", "s.*")
+    signals = page_signals(spark, sf_dir)
+    return signals.select("doc_id", scores.page_score({n: F.col(n) for n in scores.SIGNAL_WEIGHTS}).alias("s")).select("doc_id", "s.*")
 
 
 @_register(_SCORED_SQL + ", e as (select doc_id, hard >= 0.7 or aggregate >= 0.5 as f from m) select count(*) as pages_total, count(*) filter (f) as pages_repaired, count(*) filter (not f) as pages_kept from e")
