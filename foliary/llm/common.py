@@ -19,9 +19,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 #: Text bytes handled at once inside a Python worker; bounds its memory.
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 2 << 20
 #: Bytes of an Arrow batch on its way to a Python worker.
-BATCH_BYTES = 16 << 20
+BATCH_BYTES = 4 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -66,6 +66,20 @@ def text_slices(batch: pa.RecordBatch, column: str) -> Iterator[pa.RecordBatch]:
         yield batch.slice(at, step)
 
 
+def _return_large_blocks() -> None:
+    """Have the C library give freed blocks of 256 KB and more back to the system at once, and use one arena.
+
+    By default it raises that bound with each large array that is freed and
+    keeps up to 32 MB pieces, which adds up over long-lived workers.
+    """
+    with contextlib.suppress(OSError, AttributeError):
+        c = ctypes.CDLL(None)
+        c.mallopt(-3, 256 << 10)  # M_MMAP_THRESHOLD
+        c.mallopt(-1, 1 << 20)  # M_TRIM_THRESHOLD
+        c.mallopt(-8, 1)  # M_ARENA_MAX
+
+
+_return_large_blocks()
 _holder: tuple[str, Callable[[], None]] | None = None
 
 

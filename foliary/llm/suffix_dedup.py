@@ -42,9 +42,9 @@ from foliary.llm.windows import gram_hashes, rightmost_minima
 #: Bytes of a repeated string.
 LENGTH = 400
 #: Distinct contexts of one anchor that one task takes.
-HOT_CONTEXTS = 2048
+HOT_CONTEXTS = 1024
 #: Bytes of contexts that share one transform.
-BLOCK_BYTES = 1 << 20
+BLOCK_BYTES = 512 << 10
 #: Mixed intervals up to this size are spread out symbol by symbol; larger ones use rank queries.
 SMALL = 64
 #: Bits of the bitmap that marks repeated anchors (8 MiB, whatever the corpus).
