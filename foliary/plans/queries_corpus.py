@@ -175,11 +175,11 @@ def flagged_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("source", F.col("start").cast("bigint").alias("start"), F.col("end").cast("bigint").alias("end"))
 
 
-@_register(_RANGES + 'select p.source, cast(page_index as bigint) as page_index, r.start as range_start from p left join ranges r on p.source = r.source and page_index between r.start and r."end"')
+@_register(_RANGES + 'select p.source, cast(page_index as bigint) as page_index, coalesce(r.start, -1) as range_start from p left join ranges r on p.source = r.source and page_index between r.start and r."end"')
 def range_page_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = _pages(spark, sf_dir)
     joined = ranges.pages_in_ranges(pages, ranges.coalesce_ranges(pages.where("n % 5 = 0"), key="source"), key="source")
-    return joined.select("source", F.col("page_index").cast("bigint").alias("page_index"), F.col("range_start").cast("bigint").alias("range_start"))
+    return joined.select("source", F.col("page_index").cast("bigint").alias("page_index"), F.coalesce(F.col("range_start").cast("bigint"), F.lit(-1)).alias("range_start"))
 
 
 @_register(f"""

@@ -16,13 +16,13 @@ QUERIES, ORACLE_SQL = _register.queries, _register.sql
 
 
 @_register("""
-select page_id, case when page_id % 3 = 0 then url || '?final' end as final_url, case when page_id % 3 = 0 then cast(page_id % 5 as int) end as crawl_depth from pages
+select page_id, case when page_id % 3 = 0 then url || '?final' end as final_url, case when page_id % 3 = 0 then cast(page_id % 5 as int) else -1 end as crawl_depth from pages
 """)
 def page_sidecars(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = F.col("page_id")
     rows = table(spark, sf_dir, "pages").select("page_id", "url", F.lit("job").alias("job_id"), F.concat(F.lit("a/p"), p.cast("string"), F.lit(".html")).alias("relative_path"))
     told = rows.where("page_id % 3 < 2").select("job_id", F.concat(F.lit("a/p"), p.cast("string"), F.lit(".meta.json")).alias("relative_path"), F.when(p % 3 == 0, F.to_json(F.struct(F.concat("url", F.lit("?final")).alias("final_url"), (p % 5).cast("int").alias("crawl_depth")))).otherwise("not json").alias("content"))
-    return manifests.with_sidecars(rows, told).select("page_id", F.col("page.final_url").alias("final_url"), F.col("page.crawl_depth").alias("crawl_depth"))
+    return manifests.with_sidecars(rows, told).select("page_id", F.col("page.final_url").alias("final_url"), F.coalesce("page.crawl_depth", F.lit(-1)).alias("crawl_depth"))
 
 
 @_register("""

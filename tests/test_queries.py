@@ -13,7 +13,7 @@ TABLES = "region nation customer supplier part orders lineitem events documents
 
 
 def plain(v) -> str:
-    if v is None or v is pd.NaT or (isinstance(v, float) and v != v):
+    if v is None or v is pd.NaT or v is pd.NA or (isinstance(v, float) and v != v):
         return "NULL"
     return f"{v:.9g}" if isinstance(v, float) else str(v)
 
