@@ -1,17 +1,17 @@
-"""Near copies at a shingle similarity, found through SimHash fingerprints and verified exactly.
-
-One 64-bit SimHash of a whole text is too coarse for a Jaccard similarity of
-0.8: such pairs differ in 10 bits on average and in up to 18. So beside the
-fingerprint of the whole text, linked within a few bits by the Gray-order
-index, each text has SLOTS partial ones: the SimHash of the PICK shingles that
-rank least under the slot's permutation. Texts of similarity s share a slot's
-with probability s**PICK, and one of all slots' with 1 - (1 - s**PICK)**SLOTS:
-0.9998 at 0.8. Candidates are then compared by their whole shingle sets.
-
-Exact copies are folded first. Under a slot value with many texts, pairs are
-formed in Gray order of the whole fingerprints with the nearest of a few
-leaders, so candidates stay linear in the texts. There, and only there, a pair
-may be missed in all slots; the tests measure how often.
+"""Near copies at a shingle similarity: all pairs, found through exact bounds and verified by whole sets.
+
+Exact copies are folded first. Each text sends its prefix, the shingles that
+come first in one order of all shingles and of which two texts of the
+similarity must share one (n - ceil(s n) + 1 of n). Rare shingles come first:
+those that are frequent in a sample are ranked by their count, all others
+before them by their hash. Any order gives the same pairs, so the sample only
+decides how many candidates there are. Candidates are bounded by the sizes and
+by the places of the shared shingle, which no pair of the similarity exceeds.
+
+Under a shingle with many texts the links of the Gray index and of a few
+leaders are verified first. Then all pairs of texts that are not yet connected
+follow in blocks, bounded by parity bitmaps: those of two sets differ in no
+more bits than the sets do in shingles. So nothing is dropped that could link.
 """
 
 from __future__ import annotations
@@ -20,6 +20,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -27,30 +28,16 @@ from foliary.llm.common import hold, map_texts, materialise, sorted_groups, text
 from foliary.llm.components import connected_components
 from foliary.llm.simhash import gray_rank, hashes, link_edges, majority
 
-#: Slots, shingles picked in each, and bits in which whole fingerprints of candidates may differ.
-SLOTS, PICK, FAR_BITS = 16, 4, 24
-#: Texts under a slot value of which all pairs are candidates; leaders that stand for more.
+#: Texts under a shingle of which all pairs are candidates at once; leaders that are tried first under one with more.
 ALL_PAIRS, LEADERS = 48, 64
-#: Texts under a slot value above which it is cut by the Gray rank of whole fingerprints.
+#: Texts of a block under a shingle with many; pairs of blocks are tasks of their own.
 HOT_SLOT = 20_000
-_ODD = np.array([(0x9E3779B97F4A7C15 * (2 * i + 1)) % (1 << 64) | 1 for i in range(1, SLOTS + 1)], np.uint64)
-
-
-def partial_fingerprints(h: np.ndarray) -> list[int]:
-    """One value per slot: SimHash of the shingles that rank least there, 0 of none."""
-    if not len(h):
-        return [0] * SLOTS
-    out = []
-    for odd in _ODD:
-        if len(h) > PICK:
-            rank = h * odd
-            rank ^= rank >> np.uint64(31)
-            picked = h[np.argpartition(rank * odd, PICK)[:PICK]]
-        else:
-            picked = h
-        # An even number of votes leaves ties unset; the sum breaks them, so that equal picks and no others agree.
-        out.append(majority(picked) ^ int(np.bitwise_xor.reduce(picked * odd)))
-    return out
+#: Words of 64 bits in a parity bitmap.
+WORDS = 16
+#: Nearest unconnected texts that are tried before all.
+NEAREST = 4
+#: One of so many texts is sampled for frequent shingles; how often they must occur there, and how many are ranked.
+SAMPLE, FREQUENT, RANKED = 64, 3, 100_000
 
 
 def _signed(values) -> np.ndarray:
@@ -58,76 +45,242 @@ def _signed(values) -> np.ndarray:
 
 
 def _described(docs: DataFrame, size: int, id_col: str, text_col: str) -> DataFrame:
-    """(id, t1, t2, fp, slots) of every row: two hashes of the text, its fingerprint, its partial ones. No shuffle."""
+    """(id, t1, t2, fp) of every row: two hashes of the text, its fingerprint. No shuffle."""
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
         hold("near copies")
-        fps, slots = [], []
-        for text in texts_of(batch, "raw"):
-            h = hashes(text, size)
-            fps.append(majority(h))
-            slots += partial_fingerprints(np.unique(h))
-        lists = pa.FixedSizeListArray.from_arrays(pa.array(_signed(slots)), SLOTS).cast(pa.list_(pa.int64()))
-        return pa.RecordBatch.from_arrays([batch.column("id"), batch.column("t1"), batch.column("t2"), pa.array(_signed(fps)), lists], ["id", "t1", "t2", "fp", "slots"])
+        fps = [majority(hashes(text, size)) for text in texts_of(batch, "raw")]
+        return pa.RecordBatch.from_arrays([batch.column("id"), batch.column("t1"), batch.column("t2"), pa.array(_signed(fps))], ["id", "t1", "t2", "fp"])
 
     raw = F.coalesce(F.col(text_col), F.lit(""))
     rows = docs.select(F.col(id_col).alias("id"), F.xxhash64(raw).alias("t1"), F.xxhash64(F.lit(7), raw).alias("t2"), raw.alias("raw"))
     kind = docs.schema[id_col].dataType.simpleString()
-    return map_texts(rows, ["id", "t1", "t2", "raw"], "raw", f"id {kind}, t1 bigint, t2 bigint, fp bigint, slots array<bigint>", work)
+    return map_texts(rows, ["id", "t1", "t2", "raw"], "raw", f"id {kind}, t1 bigint, t2 bigint, fp bigint", work)
+
+
+def prefix(h: np.ndarray, similarity: float, ranked: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+    """The first shingles of a sorted set in the order of all: two sets of the similarity share one of them."""
+    values, rank = ranked
+    if len(values):
+        at = np.minimum(np.searchsorted(values, h), len(values) - 1)
+        h = h[np.argsort(np.where(values[at] == h, rank[at], 0), kind="stable")]
+    return h[: len(h) - int(np.ceil(similarity * len(h) - 1e-9)) + 1]
+
+
+def parity(h: np.ndarray) -> np.ndarray:
+    """Bitmap of a set: a bit is set where an odd number of its shingles fall. Two differ in as many bits as the sets in shingles, or fewer."""
+    odd = np.bincount((h >> np.uint64(20)).astype(np.int64) % (64 * WORDS), minlength=64 * WORDS).astype(np.uint8) & 1
+    return np.packbits(odd).view(np.uint64)
+
+
+def _possible(x: np.ndarray, y: np.ndarray, similarity: float) -> np.ndarray:
+    """Whether texts that share a shingle can be of the similarity; x and y hold size << 32 | place of it in the order.
+
+    True for the first shingle that such a pair shares.
+    """
+    sx, sy, px, py = x >> 32, y >> 32, x & 0xFFFFFFFF, y & 0xFFFFFFFF
+    most = np.minimum(sx - px, sy - py)
+    return (np.minimum(sx, sy) >= similarity * np.maximum(sx, sy) - 1e-9) & (most * (1 + similarity) >= similarity * (sx + sy) - 1e-9)
 
 
 def _pairs_of(fp: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Candidate pairs of a group given in Gray order: all of a small one, else each with its nearest leaders."""
+    """Pairs of a group given in Gray order that are tried first: each with its neighbour and its nearest leaders."""
     n = len(fp)
-    if n <= ALL_PAIRS:
-        i, j = np.triu_indices(n, 1)
-    else:
-        lead = np.unique(np.linspace(0, n - 1, LEADERS).astype(np.int64))
-        distance = np.bitwise_count(fp[:, None] ^ fp[lead][None, :])
-        near = lead[np.argpartition(distance, 3, axis=1)[:, :4]]
-        i = np.concatenate([np.repeat(np.arange(n), 4), np.arange(n - 1)])
-        j = np.concatenate([near.ravel(), np.arange(1, n)])
-    keep = (i != j) & (np.bitwise_count(fp[i] ^ fp[j]) <= FAR_BITS)
-    return i[keep], j[keep]
-
-
-def _slot_pairs(known: DataFrame, hot_slot: int) -> DataFrame:
-    """(a, b) of candidates by slot; a and b are the numbers of texts."""
-    keyed = known.select("n", "fp", F.posexplode("slots").alias("slot", "value"))
-    sizes = keyed.groupBy("slot", "value").agg(F.count("*").alias("size")).where("size > 1")
-    rows = keyed.join(sizes, ["slot", "value"])
-    # A hot value is cut by leading Gray-rank bits of the fingerprint, turned by another amount in each slot
-    # and no more bits than its size asks for, so that a pair parted in one slot meets in others.
-    turn = f"(64 div {SLOTS}) * slot"
-    gray = F.expr(f"shiftleft(fp, {turn}) | case when slot = 0 then 0L else shiftrightunsigned(fp, 64 - {turn}) end")
-    for shift in (1, 2, 4, 8, 16, 32):
-        gray = gray.bitwiseXOR(F.shiftrightunsigned(gray, shift))
-    rows = rows.withColumn("gray", gray).withColumn("bits", F.least(F.lit(12), F.ceil(F.log2(F.col("size") / hot_slot))).cast("int"))
-    cut = F.when(F.col("size") > hot_slot, F.expr("shiftrightunsigned(gray, 64 - bits)")).otherwise(0)
-    rows = rows.select("slot", "value", cut.alias("cut"), "fp", "n")
-    by = ["slot", "value", "cut"]
+    lead = np.unique(np.linspace(0, n - 1, LEADERS).astype(np.int64))
+    apart = lambda some: np.bitwise_count(some[:, None] ^ fp[lead][None, :])
+    near = np.concatenate([lead[np.argpartition(apart(fp[k : k + 4096]), min(3, len(lead) - 1), axis=1)[:, :4]] for k in range(0, n, 4096)])
+    i = np.concatenate([np.repeat(np.arange(n), near.shape[1]), np.arange(n - 1)])
+    j = np.concatenate([near.ravel(), np.arange(1, n)])
+    return i[i != j], j[i != j]
+
+
+def _block_pairs(x: pa.Table, y: pa.Table, similarity: float, nearest: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs of texts of two blocks (or of one) that are not connected and that no bound excludes; of each x the nearest, with 0 all."""
+    take = lambda t, c: t[c].to_numpy()
+    bits = lambda t: np.frombuffer(b"".join(t["bits"].to_pylist()), np.uint64).reshape(-1, WORDS)
+    yn, yat, yroot, ybits = take(y, "n"), take(y, "at"), take(y, "root"), bits(y)
+    xn, xat, xroot, xbits = (yn, yat, yroot, ybits) if x is y else (take(x, "n"), take(x, "at"), take(x, "root"), bits(x))
+    step = max(1, (1 << 19) // len(yn))
+    for k in range(0, len(xn), step):
+        part, rest = slice(k, k + step), slice(k if x is y else 0, None)
+        keep = _possible(xat[part, None], yat[None, rest], similarity) & (xroot[part, None] != yroot[None, rest])
+        if not keep.any():
+            continue
+        apart = np.zeros(keep.shape, np.uint16)
+        for w in range(WORDS):
+            apart += np.bitwise_count(xbits[part, w, None] ^ ybits[None, rest, w])
+        both = (xat[part, None] >> 32) + (yat[None, rest] >> 32)
+        keep &= apart <= both - 2 * np.ceil(similarity / (1 + similarity) * both - 1e-9)
+        if nearest and keep.shape[1] > nearest:
+            apart[~keep] = 1 << 15
+            best = np.argpartition(apart, nearest, axis=1)[:, :nearest]
+            only = np.zeros(keep.shape, bool)
+            np.put_along_axis(only, best, True, axis=1)
+            keep &= only
+        i, j = np.nonzero(keep)
+        yield xn[part][i], yn[rest][j]
+
+
+def _ordered(a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["a", "b"])
+
+
+def _numbered(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(n, raw) of the wanted (n, least). Texts are shuffled by id and number, so that no copy of a text is a hot key."""
+    raw = F.coalesce(F.col(text_col), F.lit(""))
+    numbered = docs.select(F.col(id_col).alias("least"), _number(F.xxhash64(raw), F.xxhash64(F.lit(7), raw)).alias("n"), raw.alias("raw"))
+    return numbered.join(wanted.select("least", "n"), ["least", "n"]).select("n", "raw")
+
+
+def _ranked(known: DataFrame, docs: DataFrame, size: int, id_col: str, text_col: str) -> tuple[np.ndarray, np.ndarray]:
+    """Frequent shingles of a sample, sorted, and their ranks from the rarest on."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for piece in text_slices(batch, "raw"):
+                for t in texts_of(piece, "raw"):
+                    yield pa.RecordBatch.from_arrays([pa.array(np.unique(hashes(t, size)).view(np.int64))], ["h"])
+
+    some = F.pmod("n", F.lit(SAMPLE)) == 0
+    raw = F.coalesce(F.col(text_col), F.lit(""))
+    sampled = docs.where(F.pmod(_number(F.xxhash64(raw), F.xxhash64(F.lit(7), raw)), F.lit(SAMPLE)) == 0)
+    counts = _numbered(sampled, known.where(some), id_col, text_col).mapInArrow(run, "h bigint").groupBy("h").agg(F.count("*").alias("c"))
+    top = counts.where(F.col("c") >= FREQUENT).orderBy(F.desc("c"), "h").limit(RANKED).toArrow()
+    values = top["h"].to_numpy().view(np.uint64)
+    order = np.argsort(values)
+    return values[order], (len(values) - np.arange(len(values)))[order]
+
+
+def _shared(known: DataFrame, docs: DataFrame, size: int, similarity: float, id_col: str, text_col: str) -> DataFrame:
+    """(a, b, key, at): candidate pairs, with null keys, and the texts a under keys that more than ALL_PAIRS share."""
+    ranked = docs.sparkSession.sparkContext.broadcast(_ranked(known, docs, size, id_col, text_col))
+
+    def keys(batch: pa.RecordBatch) -> pa.RecordBatch:
+        found, sizes = [], []
+        for t in texts_of(batch, "raw"):
+            h = np.unique(hashes(t, size))
+            # Texts without words meet under a key of their own.
+            found.append(prefix(h, similarity, ranked.value) if len(h) else np.zeros(1, np.uint64))
+            sizes.append(len(h))
+        ends = np.cumsum([0, *map(len, found)]).astype(np.int32)
+        lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(found).view(np.int64)))
+        return pa.RecordBatch.from_arrays([batch.column("n"), batch.column("least"), pa.array(sizes, pa.int64()), lists], ["n", "least", "size", "keys"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[np.ndarray] = []
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            key, n, at = _joined(held, batch)
+            cut = int(np.searchsorted(key, key[-1]))
+            yield from _runs(key[:cut], n[:cut], at[:cut], similarity)
+            held = [key[cut:], n[cut:], at[cut:]]
+        if held:
+            yield from _runs(*held, similarity)
+
+    raw = F.coalesce(F.col(text_col), F.lit(""))
+    rows = docs.select(F.col(id_col).alias("least"), _number(F.xxhash64(raw), F.xxhash64(F.lit(7), raw)).alias("n"), raw.alias("raw"))
+    kind = docs.schema[id_col].dataType.simpleString()
+    sent = map_texts(rows, ["n", "least", "raw"], "raw", f"n bigint, least {kind}, size bigint, keys array<bigint>", keys)
+    one = sent.join(known.select("n", "least"), ["n", "least"])
+    apart = one.select("n", "size", F.posexplode("keys").alias("place", "key")).select("key", "n", F.shiftleft("size", 32).bitwiseOR(F.col("place").cast("bigint")).alias("at"))
+    return apart.repartition("key").sortWithinPartitions("key", "n").mapInArrow(run, "a bigint, b bigint, key bigint, at bigint")
+
+
+def _joined(held: list[np.ndarray], batch: pa.RecordBatch) -> list[np.ndarray]:
+    """Held rows and those of a batch, all sorted by key and n; each text once under a key, also if its row is repeated."""
+    new = [batch.column(c).to_numpy() for c in ("key", "n", "at")]
+    key, n, at = [np.concatenate(c) for c in zip(held, new, strict=True)] if held else new
+    fresh = np.r_[True, (key[1:] != key[:-1]) | (n[1:] != n[:-1])]
+    return [key[fresh], n[fresh], at[fresh]]
+
+
+def _runs(key: np.ndarray, n: np.ndarray, at: np.ndarray, similarity: float) -> Iterator[pa.RecordBatch]:
+    """Of sorted keys: the possible pairs under each that few texts share, and the rows of the others."""
+    start = np.flatnonzero(np.r_[True, key[1:] != key[:-1]][: len(key)])
+    length = np.repeat(np.diff(np.r_[start, len(key)]), np.diff(np.r_[start, len(key)]))
+    names = ["a", "b", "key", "at"]
+    crowd = length > ALL_PAIRS
+    if crowd.any():
+        yield pa.RecordBatch.from_arrays([pa.array(n[crowd]), pa.nulls(int(crowd.sum()), pa.int64()), pa.array(key[crowd]), pa.array(at[crowd])], names)
+    few = (length > 1) & ~crowd
+    key, n, at = key[few], n[few], at[few]
+    for d in range(1, ALL_PAIRS):
+        i = np.flatnonzero(key[d:] == key[:-d])
+        if not len(i):
+            break
+        i = i[_possible(at[i], at[i + d], similarity)]
+        none = pa.nulls(len(i), pa.int64())
+        yield pa.RecordBatch.from_arrays([pa.array(np.minimum(n[i], n[i + d])), pa.array(np.maximum(n[i], n[i + d])), none, none], names)
+
+
+def _verified(pairs: DataFrame, shingles: DataFrame, similarity: float) -> DataFrame:
+    """The pairs whose shingle sets are of the similarity."""
+    both = pairs.join(shingles.select(F.col("n").alias("a"), F.col("shingles").alias("x")), "a").join(shingles.select(F.col("n").alias("b"), F.col("shingles").alias("y")), "b")
+
+    def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keep = np.zeros(batch.num_rows, bool)
+            for i, (x, y) in enumerate(zip(batch.column("x"), batch.column("y"), strict=True)):
+                p, q = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
+                if min(len(p), len(q)) < similarity * max(len(p), len(q)):
+                    continue
+                z = np.sort(np.concatenate((p, q)), kind="stable")
+                shared = int((z[1:] == z[:-1]).sum())
+                keep[i] = shared >= similarity * (len(z) - shared)
+            at = pa.array(np.flatnonzero(keep))
+            yield pa.RecordBatch.from_arrays([batch.column("a").take(at), batch.column("b").take(at)], ["a", "b"])
+
+    return both.select("a", "b", "x", "y").mapInArrow(verify, "a bigint, b bigint")
+
+
+def _unconnected(crowd: DataFrame, parts: DataFrame, similarity: float, block: int, nearest: int) -> DataFrame:
+    """(a, b) under keys with many texts: pairs of texts of different components that no bound excludes."""
+    rooted = crowd.join(parts.withColumnRenamed("vertex", "n"), "n", "left").withColumn("root", F.coalesce("component", "n")).drop("component")
+    open_ = rooted.groupBy("key").agg(F.count("*").alias("many"), F.min("root").alias("low"), F.max("root").alias("high")).where("low < high")
+    blocks = F.ceil(F.col("many") / block).cast("int")
+    rows = rooted.join(open_, "key").withColumn("blocks", blocks).withColumn("own", F.expr("cast(pmod(xxhash64(n), blocks) as int)"))
+    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select("key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "n", "at", "root", "bits")
+    by = ["key", "i", "j"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for group in sorted_groups(batches, by):
+            i, j = group["i"][0].as_py(), group["j"][0].as_py()
+            x = y = group
+            if i != j:
+                x, y = (group.filter(pc.equal(group["own"], k)) for k in (i, j))
+            if len(x) and len(y):
+                for a, b in _block_pairs(x, y, similarity, nearest):
+                    yield _ordered(a, b)
+
+    return rows.repartition(*by).sortWithinPartitions(*by).mapInArrow(run, "a bigint, b bigint").distinct()
+
+
+def _first_pairs(crowd: DataFrame) -> DataFrame:
+    """(a, b) under keys with many texts: those that are tried first."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for group in sorted_groups(batches, ["key"]):
             fp, n = group["fp"].to_numpy().view(np.uint64), group["n"].to_numpy()
             order = np.argsort(gray_rank(fp), kind="stable")
             i, j = _pairs_of(fp[order])
-            a, b = n[order][i], n[order][j]
-            yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["a", "b"])
+            yield _ordered(n[order][i], n[order][j])
 
-    return rows.repartition(*by).sortWithinPartitions(*by).mapInArrow(run, "a bigint, b bigint")
+    return crowd.select("key", "n", "fp").repartition("key").sortWithinPartitions("key").mapInArrow(run, "a bigint, b bigint")
 
 
-def similar_pairs(known: DataFrame, docs: DataFrame, size: int, similarity: float, radius: int, hot_slot: int, id_col: str, text_col: str) -> DataFrame:
-    """(a, b): verified pairs of distinct texts, by their numbers. ``known`` is (n, least, fp, slots): one row per text, ``least`` the id of a row that has it."""
+def similar_components(known: DataFrame, docs: DataFrame, size: int, similarity: float, radius: int, hot_slot: int, id_col: str, text_col: str) -> DataFrame:
+    """(vertex, component): distinct texts, by their numbers, connected by pairs of the similarity. ``known`` is (n, least, fp): one row per text, ``least`` the id of a row that has it."""
     by_fp = known.groupBy("fp").agg(F.min("n").alias("n"))
     linked = link_edges(by_fp.select("fp"), radius)
     left = by_fp.select(F.col("fp").alias("a"), F.col("n").alias("na"))
     right = by_fp.select(F.col("fp").alias("b"), F.col("n").alias("nb"))
     whole = linked.join(left, "a").join(right, "b").select(F.least("na", "nb").alias("a"), F.greatest("na", "nb").alias("b"))
     same = known.join(by_fp.withColumnRenamed("n", "first"), "fp").where("n <> first").select(F.col("first").alias("a"), F.col("n").alias("b"))
-    pairs = materialise(_slot_pairs(known, hot_slot).union(whole).union(same).distinct())
-    asked = pairs.select(F.col("a").alias("n")).union(pairs.select(F.col("b").alias("n"))).distinct().join(known.select("n", "least"), "n")
+    shared = materialise(_shared(known, docs, size, similarity, id_col, text_col).distinct())
+    pairs = materialise(shared.where("key is null").select("a", "b").union(whole).union(same).distinct())
+    crowd = shared.where("key is not null").select("key", F.col("a").alias("n"), "at")
+    asked = pairs.select(F.col("a").alias("n")).union(pairs.select(F.col("b").alias("n"))).union(crowd.select("n")).distinct().join(known.select("n", "least"), "n")
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -135,27 +288,24 @@ def similar_pairs(known: DataFrame, docs: DataFrame, size: int, similarity: floa
                 found = [np.unique(hashes(t, size)).tobytes() for t in texts_of(piece, "raw")]
                 yield pa.RecordBatch.from_arrays([piece.column("n"), pa.array(found, pa.binary())], ["n", "shingles"])
 
-    # The only shuffle of texts: by id and number, so that no copy of a text is a hot key.
-    raw = F.coalesce(F.col(text_col), F.lit(""))
-    numbered = docs.select(F.col(id_col).alias("least"), _number(F.xxhash64(raw), F.xxhash64(F.lit(7), raw)).alias("n"), raw.alias("raw"))
-    found = numbered.join(asked, ["least", "n"]).select("n", "raw").mapInArrow(sets, "n bigint, shingles binary")
+    found = _numbered(docs, asked, id_col, text_col).mapInArrow(sets, "n bigint, shingles binary")
     shingles = materialise(found.dropDuplicates(["n"]))
-    both = pairs.join(shingles.select(F.col("n").alias("a"), F.col("shingles").alias("x")), "a").join(shingles.select(F.col("n").alias("b"), F.col("shingles").alias("y")), "b")
 
-    def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def bitmaps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keep = np.zeros(batch.num_rows, bool)
-            for i, (x, y) in enumerate(zip(batch.column("x"), batch.column("y"), strict=True)):
-                p, q = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
-                if min(len(p), len(q)) < similarity * max(len(p), len(q)):
-                    continue
-                z = np.sort(np.concatenate((p, q)), kind="stable")
-                shared = int((z[1:] == z[:-1]).sum())
-                keep[i] = shared >= similarity * (len(z) - shared)
-            at = pa.array(np.flatnonzero(keep))
-            yield pa.RecordBatch.from_arrays([batch.column("a").take(at), batch.column("b").take(at)], ["a", "b"])
+            found = [parity(np.frombuffer(x.as_buffer(), np.uint64)).tobytes() for x in batch.column("shingles")]
+            yield pa.RecordBatch.from_arrays([batch.column("n"), pa.array(found, pa.binary())], ["n", "bits"])
 
-    return both.select("a", "b", "x", "y").mapInArrow(verify, "a bigint, b bigint")
+    crowded = not crowd.isEmpty()
+    if crowded:
+        drawn = shingles.join(crowd.select("n").distinct(), "n", "left_semi").select("n", "shingles").mapInArrow(bitmaps, "n bigint, bits binary")
+        crowd = materialise(crowd.join(drawn, "n").join(known.select("n", "fp"), "n"))
+        pairs = materialise(pairs.union(_first_pairs(crowd)).distinct())
+    parts = connected_components(_verified(pairs, shingles, similarity))
+    for nearest in (NEAREST, 0) if crowded else ():
+        more = materialise(_unconnected(crowd, parts, similarity, hot_slot, nearest))
+        parts = connected_components(_verified(more, shingles, similarity).union(parts.select(F.col("vertex").alias("a"), F.col("component").alias("b"))))
+    return parts
 
 
 def near_copy_groups(docs: DataFrame, size: int = 5, similarity: float = 0.8, radius: int = 2, id_col: str = "doc_id", text_col: str = "text", hot_slot: int = HOT_SLOT) -> DataFrame:
@@ -166,10 +316,10 @@ def near_copy_groups(docs: DataFrame, size: int = 5, similarity: float = 0.8, ra
     their group's name, or null in a group of such rows only.
     """
     rows = materialise(_described(docs, size, id_col, text_col))
-    folded = rows.groupBy("t1", "t2").agg(F.min("id").alias("least"), F.first("fp").alias("fp"), F.first("slots").alias("slots"))
-    texts = materialise(folded.select("t1", "t2", _number(F.col("t1"), F.col("t2")).alias("n"), "least", "fp", "slots"))
-    known = texts.where("least is not null").select("n", "least", "fp", "slots")
-    parts = connected_components(similar_pairs(known, docs, size, similarity, radius, hot_slot, id_col, text_col))
+    folded = rows.groupBy("t1", "t2").agg(F.min("id").alias("least"), F.first("fp").alias("fp"))
+    texts = materialise(folded.select("t1", "t2", _number(F.col("t1"), F.col("t2")).alias("n"), "least", "fp"))
+    known = texts.where("least is not null").select("n", "least", "fp")
+    parts = similar_components(known, docs, size, similarity, radius, hot_slot, id_col, text_col)
     member = texts.join(parts.withColumnRenamed("vertex", "n"), "n", "left").select("t1", "t2", "least", F.coalesce("component", "n").alias("root"))
     groups = member.groupBy("root").agg(F.min("least").alias("component_id"))
     return rows.select("id", "t1", "t2").join(member.join(groups, "root").select("t1", "t2", "component_id"), ["t1", "t2"]).select(F.col("id").alias(id_col), "component_id")

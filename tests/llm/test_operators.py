@@ -260,6 +260,36 @@ def test_near_copies_large_group():
     assert len(i) <= 5 * 3000 and len(np.unique(np.concatenate((i, j)))) == 3000
 
 
+def grouped_like_brute_force(spark, texts, **more):
+    sets = [set(simhash.hashes(t, 5).tolist()) for t in texts]
+    holders: dict[int, list[int]] = {}
+    for i, x in enumerate(sets):
+        for s in x:
+            holders.setdefault(s, []).append(i)
+    alike = []
+    for a, x in enumerate(sets):
+        shared = Counter(b for s in x for b in holders[s] if b < a)
+        alike += [(a, b) for b, n in shared.items() if n >= 0.8 * (len(x) + len(sets[b]) - n)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    got = {r["doc_id"]: r["component_id"] for r in near_copies.near_copy_groups(df, **more).collect()}
+    assert got == components(range(len(texts)), alike)
+    return got
+
+
+def test_near_copies_of_a_hub(spark):
+    """2,000 edited copies, each about 0.8 like one original and less like each other, end in its group."""
+    r = random.Random(3)
+    words = prose(r, 150).split()
+    texts = [" ".join(words)]
+    for k in range(2000):
+        w = list(words)
+        for at in sorted(r.sample(range(5, 145), 3)):
+            w[at] = f"edit{k}x{at}"
+        texts.append(" ".join(w))
+    got = grouped_like_brute_force(spark, texts)
+    assert list(got.values()).count(0) > 1900
+
+
 # --- 4 -------------------------------------------------------------------------------------------
 
 
