@@ -290,6 +290,23 @@ def test_near_copies_of_a_hub(spark):
     assert list(got.values()).count(0) > 1900
 
 
+def test_near_copies_short_and_hot(spark):
+    """Texts of 4 and 5 shingles, and groups that are cut into small blocks, are grouped as by brute force."""
+    r = random.Random(11)
+    texts = []
+    for k in range(400):
+        words = [f"w{k}x{i}" for i in range(9)]
+        texts += [" ".join(words), " ".join(words[:8])]
+    for k in range(4):
+        words = prose(r, 150).split()
+        for _ in range(90):
+            w = list(words)
+            for at in r.sample(range(150), r.randint(1, 4)):
+                w[at] = f"edit{r.random()}"
+            texts.append(" ".join(w))
+    grouped_like_brute_force(spark, texts, hot_slot=7)
+
+
 # --- 4 -------------------------------------------------------------------------------------------
 
 
