@@ -307,6 +307,17 @@ def test_near_copies_short_and_hot(spark):
     grouped_like_brute_force(spark, texts, hot_slot=7)
 
 
+def test_near_copies_with_a_repeated_line(spark):
+    """A line once or 60 times: nearly the same shingle sets, though the fingerprints are far apart."""
+    r = random.Random(12)
+    texts = []
+    for _ in range(80):
+        words, line = prose(r, 200), prose(r, 12)
+        texts += [f"{words} {line}", words + f" {line}" * 60]
+    got = grouped_like_brute_force(spark, texts)
+    assert len(set(got.values())) == 80
+
+
 # --- 4 -------------------------------------------------------------------------------------------
 
 
