@@ -73,6 +73,11 @@ def parity(h: np.ndarray) -> np.ndarray:
     return np.packbits(odd).view(np.uint64)
 
 
+def _most_apart(both: np.ndarray, similarity: float) -> np.ndarray:
+    """Shingles in which two sets of the similarity differ at most; ``both`` are their sizes together."""
+    return both - 2 * np.ceil(similarity / (1 + similarity) * both - 1e-9)
+
+
 def _possible(x: np.ndarray, y: np.ndarray, similarity: float) -> np.ndarray:
     """Whether texts that share a shingle can be of the similarity; x and y hold size << 32 | place of it in the order.
 
@@ -110,7 +115,7 @@ def _block_pairs(x: pa.Table, y: pa.Table, similarity: float, nearest: int) -> I
         for w in range(WORDS):
             apart += np.bitwise_count(xbits[part, w, None] ^ ybits[None, rest, w])
         both = (xat[part, None] >> 32) + (yat[None, rest] >> 32)
-        keep &= apart <= both - 2 * np.ceil(similarity / (1 + similarity) * both - 1e-9)
+        keep &= apart <= _most_apart(both, similarity)
         if nearest and keep.shape[1] > nearest:
             apart[~keep] = 1 << 15
             best = np.argpartition(apart, nearest, axis=1)[:, :nearest]
@@ -126,10 +131,10 @@ def _ordered(a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
 
 
 def _numbered(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(n, raw) of the wanted (n, least). Texts are shuffled by id and number, so that no copy of a text is a hot key."""
+    """(n, raw) of the wanted (n, least), once. Texts are shuffled by id and number, so that no copy of a text is a hot key."""
     raw = F.coalesce(F.col(text_col), F.lit(""))
     numbered = docs.select(F.col(id_col).alias("least"), _number(F.xxhash64(raw), F.xxhash64(F.lit(7), raw)).alias("n"), raw.alias("raw"))
-    return numbered.join(wanted.select("least", "n"), ["least", "n"]).select("n", "raw")
+    return numbered.join(wanted.select("least", "n"), ["least", "n"]).dropDuplicates(["least", "n"]).select("n", "raw")
 
 
 def _ranked(known: DataFrame, docs: DataFrame, size: int, id_col: str, text_col: str) -> tuple[np.ndarray, np.ndarray]:
@@ -214,6 +219,25 @@ def _runs(key: np.ndarray, n: np.ndarray, at: np.ndarray, similarity: float) ->
         yield pa.RecordBatch.from_arrays([pa.array(np.minimum(n[i], n[i + d])), pa.array(np.maximum(n[i], n[i + d])), none, none], names)
 
 
+def _bounded(pairs: DataFrame, drawn: DataFrame, similarity: float) -> DataFrame:
+    """The pairs that sizes and bitmaps do not exclude; ``drawn`` is (n, size, bits)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            x, y = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint64).reshape(-1, WORDS) for c in ("x", "y"))
+            sx, sy = batch.column("sx").to_numpy(), batch.column("sy").to_numpy()
+            keep = np.minimum(sx, sy) >= similarity * np.maximum(sx, sy) - 1e-9
+            keep &= np.bitwise_count(x ^ y).sum(axis=1, dtype=np.int64) <= _most_apart(sx + sy, similarity)
+            at = pa.array(np.flatnonzero(keep))
+            yield pa.RecordBatch.from_arrays([batch.column("a").take(at), batch.column("b").take(at)], ["a", "b"])
+
+    left = drawn.select(F.col("n").alias("a"), F.col("size").alias("sx"), F.col("bits").alias("x"))
+    right = drawn.select(F.col("n").alias("b"), F.col("size").alias("sy"), F.col("bits").alias("y"))
+    return pairs.join(left, "a").join(right, "b").select("a", "b", "sx", "sy", "x", "y").mapInArrow(run, "a bigint, b bigint")
+
+
 def _verified(pairs: DataFrame, shingles: DataFrame, similarity: float) -> DataFrame:
     """The pairs whose shingle sets are of the similarity."""
     both = pairs.join(shingles.select(F.col("n").alias("a"), F.col("shingles").alias("x")), "a").join(shingles.select(F.col("n").alias("b"), F.col("shingles").alias("y")), "b")
@@ -289,18 +313,20 @@ def similar_components(known: DataFrame, docs: DataFrame, size: int, similarity:
                 yield pa.RecordBatch.from_arrays([piece.column("n"), pa.array(found, pa.binary())], ["n", "shingles"])
 
     found = _numbered(docs, asked, id_col, text_col).mapInArrow(sets, "n bigint, shingles binary")
-    shingles = materialise(found.dropDuplicates(["n"]))
+    shingles = materialise(found)
 
     def bitmaps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [parity(np.frombuffer(x.as_buffer(), np.uint64)).tobytes() for x in batch.column("shingles")]
-            yield pa.RecordBatch.from_arrays([batch.column("n"), pa.array(found, pa.binary())], ["n", "bits"])
+            found = [np.frombuffer(x.as_buffer(), np.uint64) for x in batch.column("shingles")]
+            bits = pa.array([parity(h).tobytes() for h in found], pa.binary())
+            yield pa.RecordBatch.from_arrays([batch.column("n"), pa.array([len(h) for h in found], pa.int64()), bits], ["n", "size", "bits"])
 
+    drawn = materialise(shingles.select("n", "shingles").mapInArrow(bitmaps, "n bigint, size bigint, bits binary"))
     crowded = not crowd.isEmpty()
     if crowded:
-        drawn = shingles.join(crowd.select("n").distinct(), "n", "left_semi").select("n", "shingles").mapInArrow(bitmaps, "n bigint, bits binary")
-        crowd = materialise(crowd.join(drawn, "n").join(known.select("n", "fp"), "n"))
-        pairs = materialise(pairs.union(_first_pairs(crowd)).distinct())
+        crowd = materialise(crowd.join(drawn.select("n", "bits"), "n").join(known.select("n", "fp"), "n"))
+        pairs = pairs.union(_first_pairs(crowd)).distinct()
+    pairs = materialise(_bounded(pairs, drawn, similarity))
     parts = connected_components(_verified(pairs, shingles, similarity))
     for nearest in (NEAREST, 0) if crowded else ():
         more = materialise(_unconnected(crowd, parts, similarity, hot_slot, nearest))
