@@ -45,17 +45,23 @@ def _signed(values) -> np.ndarray:
 
 
 def _described(docs: DataFrame, size: int, id_col: str, text_col: str) -> DataFrame:
-    """(id, t1, t2, fp) of every row: two hashes of the text, its fingerprint. No shuffle."""
+    """(id, t1, t2, fp, size, bits) of every row: two hashes of the text, its fingerprint, the size and bitmap of its shingle set. No shuffle."""
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
         hold("near copies")
-        fps = [majority(hashes(text, size)) for text in texts_of(batch, "raw")]
-        return pa.RecordBatch.from_arrays([batch.column("id"), batch.column("t1"), batch.column("t2"), pa.array(_signed(fps))], ["id", "t1", "t2", "fp"])
+        fps, sizes, bits = [], [], []
+        for text in texts_of(batch, "raw"):
+            h = hashes(text, size)
+            fps.append(majority(h))
+            h = np.unique(h)
+            sizes.append(len(h))
+            bits.append(parity(h).tobytes())
+        return pa.RecordBatch.from_arrays([batch.column("id"), batch.column("t1"), batch.column("t2"), pa.array(_signed(fps)), pa.array(sizes, pa.int64()), pa.array(bits, pa.binary())], ["id", "t1", "t2", "fp", "size", "bits"])
 
     raw = F.coalesce(F.col(text_col), F.lit(""))
     rows = docs.select(F.col(id_col).alias("id"), F.xxhash64(raw).alias("t1"), F.xxhash64(F.lit(7), raw).alias("t2"), raw.alias("raw"))
     kind = docs.schema[id_col].dataType.simpleString()
-    return map_texts(rows, ["id", "t1", "t2", "raw"], "raw", f"id {kind}, t1 bigint, t2 bigint, fp bigint", work)
+    return map_texts(rows, ["id", "t1", "t2", "raw"], "raw", f"id {kind}, t1 bigint, t2 bigint, fp bigint, size bigint, bits binary", work)
 
 
 def prefix(h: np.ndarray, similarity: float, ranked: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
@@ -219,6 +225,10 @@ def _runs(key: np.ndarray, n: np.ndarray, at: np.ndarray, similarity: float) ->
         yield pa.RecordBatch.from_arrays([pa.array(np.minimum(n[i], n[i + d])), pa.array(np.maximum(n[i], n[i + d])), none, none], names)
 
 
+def _ends(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.col("a").alias("n")).union(pairs.select(F.col("b").alias("n"))).distinct()
+
+
 def _bounded(pairs: DataFrame, drawn: DataFrame, similarity: float) -> DataFrame:
     """The pairs that sizes and bitmaps do not exclude; ``drawn`` is (n, size, bits)."""
 
@@ -294,7 +304,7 @@ def _first_pairs(crowd: DataFrame) -> DataFrame:
 
 
 def similar_components(known: DataFrame, docs: DataFrame, size: int, similarity: float, radius: int, hot_slot: int, id_col: str, text_col: str) -> DataFrame:
-    """(vertex, component): distinct texts, by their numbers, connected by pairs of the similarity. ``known`` is (n, least, fp): one row per text, ``least`` the id of a row that has it."""
+    """(vertex, component): distinct texts, by their numbers, connected by pairs of the similarity. ``known`` is (n, least, fp, size, bits): one row per text, ``least`` the id of a row that has it."""
     by_fp = known.groupBy("fp").agg(F.min("n").alias("n"))
     linked = link_edges(by_fp.select("fp"), radius)
     left = by_fp.select(F.col("fp").alias("a"), F.col("n").alias("na"))
@@ -302,9 +312,15 @@ def similar_components(known: DataFrame, docs: DataFrame, size: int, similarity:
     whole = linked.join(left, "a").join(right, "b").select(F.least("na", "nb").alias("a"), F.greatest("na", "nb").alias("b"))
     same = known.join(by_fp.withColumnRenamed("n", "first"), "fp").where("n <> first").select(F.col("first").alias("a"), F.col("n").alias("b"))
     shared = materialise(_shared(known, docs, size, similarity, id_col, text_col).distinct())
-    pairs = materialise(shared.where("key is null").select("a", "b").union(whole).union(same).distinct())
+    pairs = shared.where("key is null").select("a", "b").union(whole).union(same)
     crowd = shared.where("key is not null").select("key", F.col("a").alias("n"), "at")
-    asked = pairs.select(F.col("a").alias("n")).union(pairs.select(F.col("b").alias("n"))).union(crowd.select("n")).distinct().join(known.select("n", "least"), "n")
+    crowded = not crowd.isEmpty()
+    if crowded:
+        crowd = materialise(crowd.join(known.select("n", "fp", "bits"), "n"))
+        pairs = pairs.union(_first_pairs(crowd))
+    pairs = materialise(_bounded(pairs.distinct(), known, similarity))
+    # Written out, so that Spark knows its size when it plans the join with the texts.
+    asked = materialise(_ends(pairs).union(crowd.select("n")).distinct().join(known.select("n", "least"), "n"))
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -312,25 +328,12 @@ def similar_components(known: DataFrame, docs: DataFrame, size: int, similarity:
                 found = [np.unique(hashes(t, size)).tobytes() for t in texts_of(piece, "raw")]
                 yield pa.RecordBatch.from_arrays([piece.column("n"), pa.array(found, pa.binary())], ["n", "shingles"])
 
-    found = _numbered(docs, asked, id_col, text_col).mapInArrow(sets, "n bigint, shingles binary")
-    shingles = materialise(found)
-
-    def bitmaps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found = [np.frombuffer(x.as_buffer(), np.uint64) for x in batch.column("shingles")]
-            bits = pa.array([parity(h).tobytes() for h in found], pa.binary())
-            yield pa.RecordBatch.from_arrays([batch.column("n"), pa.array([len(h) for h in found], pa.int64()), bits], ["n", "size", "bits"])
-
-    drawn = materialise(shingles.select("n", "shingles").mapInArrow(bitmaps, "n bigint, size bigint, bits binary"))
-    crowded = not crowd.isEmpty()
-    if crowded:
-        crowd = materialise(crowd.join(drawn.select("n", "bits"), "n").join(known.select("n", "fp"), "n"))
-        pairs = pairs.union(_first_pairs(crowd)).distinct()
-    pairs = materialise(_bounded(pairs, drawn, similarity))
+    shingles = materialise(_numbered(docs, asked, id_col, text_col).mapInArrow(sets, "n bigint, shingles binary"))
     parts = connected_components(_verified(pairs, shingles, similarity))
     for nearest in (NEAREST, 0) if crowded else ():
         more = materialise(_unconnected(crowd, parts, similarity, hot_slot, nearest))
-        parts = connected_components(_verified(more, shingles, similarity).union(parts.select(F.col("vertex").alias("a"), F.col("component").alias("b"))))
+        some = shingles.join(materialise(_ends(more)), "n", "left_semi")
+        parts = connected_components(_verified(more, some, similarity).union(parts.select(F.col("vertex").alias("a"), F.col("component").alias("b"))))
     return parts
 
 
@@ -342,9 +345,9 @@ def near_copy_groups(docs: DataFrame, size: int = 5, similarity: float = 0.8, ra
     their group's name, or null in a group of such rows only.
     """
     rows = materialise(_described(docs, size, id_col, text_col))
-    folded = rows.groupBy("t1", "t2").agg(F.min("id").alias("least"), F.first("fp").alias("fp"))
-    texts = materialise(folded.select("t1", "t2", _number(F.col("t1"), F.col("t2")).alias("n"), "least", "fp"))
-    known = texts.where("least is not null").select("n", "least", "fp")
+    folded = rows.groupBy("t1", "t2").agg(F.min("id").alias("least"), *[F.first(c).alias(c) for c in ("fp", "size", "bits")])
+    texts = materialise(folded.select("t1", "t2", _number(F.col("t1"), F.col("t2")).alias("n"), "least", "fp", "size", "bits"))
+    known = texts.where("least is not null").select("n", "least", "fp", "size", "bits")
     parts = similar_components(known, docs, size, similarity, radius, hot_slot, id_col, text_col)
     member = texts.join(parts.withColumnRenamed("vertex", "n"), "n", "left").select("t1", "t2", "least", F.coalesce("component", "n").alias("root"))
     groups = member.groupBy("root").agg(F.min("least").alias("component_id"))
