@@ -17,11 +17,16 @@ from collections.abc import Callable, Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 #: Text bytes handled at once inside a Python worker; bounds its memory.
 SLICE_BYTES = 2 << 20
 #: Bytes of an Arrow batch on its way to a Python worker.
 BATCH_BYTES = 4 << 20
+#: Most bits of a bitmap of marks (32 MiB).
+MOST_MARK_BITS = 1 << 28
+#: Whether Spark drops an execution's shuffle files when it ends.
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -31,7 +36,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share: spark.checkpoint.dir.
 
-    Only where it is unset (tests in local mode) a temporary folder is set.
+    Only in local mode, where driver and executor are one process, a temporary
+    folder stands in for it if it is unset; on a cluster that is an error.
     """
     sc = spark.sparkContext
     known = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
@@ -39,6 +45,8 @@ def shared_dir(spark: SparkSession) -> str:
         return known.rstrip("/")
     current = sc.getCheckpointDir()
     if current is None:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
         current = "file://" + tempfile.mkdtemp(prefix="foliary-checkpoint-")
         sc.setCheckpointDir(current)
     return current.rsplit("/", 1)[0] if current.count("/") > 4 else current
@@ -49,10 +57,49 @@ def fresh_dir(spark: SparkSession, kind: str) -> str:
 
 
 def materialise(df: DataFrame) -> DataFrame:
-    """Write the rows to the shared folder as Parquet and read them again: cuts lineage and survives lost executors."""
-    path = fresh_dir(df.sparkSession, "stage")
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    """Write the rows to the shared folder as Parquet and read them again: cuts lineage and survives lost executors.
+
+    The shuffle files behind the written rows go at once, nothing reads them again.
+    """
+    spark = df.sparkSession
+    path = fresh_dir(spark, "stage")
+    before = spark.conf.get(_CLEANUP, None)
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.unset(_CLEANUP) if before is None else spark.conf.set(_CLEANUP, before)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def discard(*written: DataFrame) -> None:
+    """Delete the files of materialised rows that no later step reads."""
+    for df in written:
+        jvm = df.sparkSession._jvm
+        for path in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+            where = jvm.org.apache.hadoop.fs.Path(path)
+            where.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(where, True)
+
+
+def marks(rows: DataFrame, column: str) -> np.ndarray:
+    """Bitmap in which the bit of each value of a bigint column is set: 16 bits a row, MOST_MARK_BITS at most.
+
+    It spares most rows that an exact join drops later; where it is full it
+    spares none and changes no result. Collected in pieces of 4 KiB.
+    """
+    bits = min(MOST_MARK_BITS, 1 << max(20, (16 * rows.count()).bit_length()))
+    place = F.pmod(column, F.lit(bits))
+    pieces = rows.select(F.floor(place / 32768).cast("int").alias("piece"), (place % 32768).alias("bit")).groupBy("piece").agg(F.bitmap_construct_agg("bit").alias("bits")).collect()
+    out = np.zeros(bits // 8, np.uint8)
+    for r in pieces:
+        out[r["piece"] * 4096 : r["piece"] * 4096 + len(r["bits"])] = np.frombuffer(r["bits"], np.uint8)
+    return out
+
+
+def marked(bitmap: np.ndarray, values: np.ndarray) -> np.ndarray:
+    """Whether the bits of 64-bit values are set."""
+    bit = values.view(np.uint64) & np.uint64(8 * len(bitmap) - 1)
+    return (bitmap[bit >> np.uint64(3)] >> (bit & np.uint64(7)).astype(np.uint8) & 1).astype(bool)
 
 
 def text_slices(batch: pa.RecordBatch, column: str) -> Iterator[pa.RecordBatch]:
@@ -79,7 +126,6 @@ def _return_large_blocks() -> None:
         c.mallopt(-8, 1)  # M_ARENA_MAX
 
 
-_return_large_blocks()
 _holder: tuple[str, Callable[[], None]] | None = None
 
 
@@ -92,7 +138,9 @@ def hold(name: str, release: Callable[[], None] = lambda: None) -> None:
     global _holder
     if _holder is not None and _holder[0] == name:
         return
-    if _holder is not None:
+    if _holder is None:
+        _return_large_blocks()
+    else:
         _holder[1]()
         gc.collect()
         with contextlib.suppress(OSError, AttributeError):  # other C libraries have no such call

@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from foliary.llm.common import materialise
+from foliary.llm.common import discard, materialise
 
 
 def _star(edges: DataFrame, keep) -> DataFrame:
@@ -34,7 +34,8 @@ def connected_components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
         both = now.union(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
         large = _star(both, F.col("v") > F.col("u")).select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
         small = _star(large, F.col("v") < F.col("u")).select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
-        now = materialise(small)
+        before, now = now, materialise(small)
+        discard(before)
         fresh = now.agg(F.count("*").alias("n"), F.expr("coalesce(bit_xor(xxhash64(u, v)), 0)").alias("x"), F.expr("coalesce(sum(pmod(xxhash64(v, u), 1000003)), 0)").alias("s")).first()
         if tuple(fresh) == mark:
             break

@@ -24,7 +24,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from foliary.llm.common import hold, map_texts, materialise, sorted_groups, text_slices, texts_of
+from foliary.llm.common import discard, hold, map_texts, marked, marks, materialise, sorted_groups, text_slices, texts_of
 from foliary.llm.components import connected_components
 from foliary.llm.simhash import gray_rank, hashes, link_edges, majority
 
@@ -136,14 +136,28 @@ def _ordered(a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["a", "b"])
 
 
-def _numbered(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(n, raw) of the wanted (n, least), once. Texts are shuffled by id and number, so that no copy of a text is a hot key."""
+def _raw(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(least, n, raw) of every row, by the names of a text's row that stands for it."""
     raw = F.coalesce(F.col(text_col), F.lit(""))
-    numbered = docs.select(F.col(id_col).alias("least"), _number(F.xxhash64(raw), F.xxhash64(F.lit(7), raw)).alias("n"), raw.alias("raw"))
-    return numbered.join(wanted.select("least", "n"), ["least", "n"]).dropDuplicates(["least", "n"]).select("n", "raw")
+    return docs.select(F.col(id_col).alias("least"), _number(F.xxhash64(raw), F.xxhash64(F.lit(7), raw)).alias("n"), raw.alias("raw"))
 
 
-def _ranked(known: DataFrame, docs: DataFrame, size: int, id_col: str, text_col: str) -> tuple[np.ndarray, np.ndarray]:
+def _sets(docs: DataFrame, asked: DataFrame, size: int, id_col: str, text_col: str) -> DataFrame:
+    """(n, shingles) of the asked (n, least) and, by false marks, of some others; made where the texts are."""
+    bitmap = docs.sparkSession.sparkContext.broadcast(marks(asked.select(F.xxhash64("n", "least").alias("mark")), "mark"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for piece in text_slices(batch, "raw"):
+                piece = piece.filter(pa.array(marked(bitmap.value, piece.column("mark").to_numpy())))
+                found = [np.unique(hashes(t, size)).tobytes() for t in texts_of(piece, "raw")]
+                yield pa.RecordBatch.from_arrays([piece.column("n"), pa.array(found, pa.binary())], ["n", "shingles"])
+
+    rows = _raw(docs, id_col, text_col).select("n", F.xxhash64("n", "least").alias("mark"), "raw")
+    return rows.mapInArrow(run, "n bigint, shingles binary").dropDuplicates(["n"])
+
+
+def _ranked(docs: DataFrame, size: int, id_col: str, text_col: str) -> tuple[np.ndarray, np.ndarray]:
     """Frequent shingles of a sample, sorted, and their ranks from the rarest on."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -152,10 +166,8 @@ def _ranked(known: DataFrame, docs: DataFrame, size: int, id_col: str, text_col:
                 for t in texts_of(piece, "raw"):
                     yield pa.RecordBatch.from_arrays([pa.array(np.unique(hashes(t, size)).view(np.int64))], ["h"])
 
-    some = F.pmod("n", F.lit(SAMPLE)) == 0
-    raw = F.coalesce(F.col(text_col), F.lit(""))
-    sampled = docs.where(F.pmod(_number(F.xxhash64(raw), F.xxhash64(F.lit(7), raw)), F.lit(SAMPLE)) == 0)
-    counts = _numbered(sampled, known.where(some), id_col, text_col).mapInArrow(run, "h bigint").groupBy("h").agg(F.count("*").alias("c"))
+    sampled = _raw(docs, id_col, text_col).where(F.pmod("n", F.lit(SAMPLE)) == 0).select("n", "raw").dropDuplicates(["n"])
+    counts = sampled.select("raw").mapInArrow(run, "h bigint").groupBy("h").agg(F.count("*").alias("c"))
     top = counts.where(F.col("c") >= FREQUENT).orderBy(F.desc("c"), "h").limit(RANKED).toArrow()
     values = top["h"].to_numpy().view(np.uint64)
     order = np.argsort(values)
@@ -164,7 +176,7 @@ def _ranked(known: DataFrame, docs: DataFrame, size: int, id_col: str, text_col:
 
 def _shared(known: DataFrame, docs: DataFrame, size: int, similarity: float, id_col: str, text_col: str) -> DataFrame:
     """(a, b, key, at): candidate pairs, with null keys, and the texts a under keys that more than ALL_PAIRS share."""
-    ranked = docs.sparkSession.sparkContext.broadcast(_ranked(known, docs, size, id_col, text_col))
+    ranked = docs.sparkSession.sparkContext.broadcast(_ranked(docs, size, id_col, text_col))
 
     def keys(batch: pa.RecordBatch) -> pa.RecordBatch:
         found, sizes = [], []
@@ -182,32 +194,35 @@ def _shared(known: DataFrame, docs: DataFrame, size: int, similarity: float, id_
         for batch in batches:
             if not batch.num_rows:
                 continue
-            key, n, at = _joined(held, batch)
-            cut = int(np.searchsorted(key, key[-1]))
-            yield from _runs(key[:cut], n[:cut], at[:cut], similarity)
-            held = [key[cut:], n[cut:], at[cut:]]
+            rows = _joined(held, batch)
+            cut = int(np.searchsorted(rows[0], rows[0][-1]))
+            yield from _runs(*(c[:cut] for c in rows), similarity)
+            held = [c[cut:] for c in rows]
         if held:
             yield from _runs(*held, similarity)
 
-    raw = F.coalesce(F.col(text_col), F.lit(""))
-    rows = docs.select(F.col(id_col).alias("least"), _number(F.xxhash64(raw), F.xxhash64(F.lit(7), raw)).alias("n"), raw.alias("raw"))
     kind = docs.schema[id_col].dataType.simpleString()
-    sent = map_texts(rows, ["n", "least", "raw"], "raw", f"n bigint, least {kind}, size bigint, keys array<bigint>", keys)
+    sent = map_texts(_raw(docs, id_col, text_col), ["n", "least", "raw"], "raw", f"n bigint, least {kind}, size bigint, keys array<bigint>", keys)
     one = sent.join(known.select("n", "least"), ["n", "least"])
-    apart = one.select("n", "size", F.posexplode("keys").alias("place", "key")).select("key", "n", F.shiftleft("size", 32).bitwiseOR(F.col("place").cast("bigint")).alias("at"))
+    apart = one.select("n", "size", F.element_at("keys", 1).alias("first"), F.posexplode("keys").alias("place", "key")).select("key", "n", F.shiftleft("size", 32).bitwiseOR(F.col("place").cast("bigint")).alias("at"), "first")
     return apart.repartition("key").sortWithinPartitions("key", "n").mapInArrow(run, "a bigint, b bigint, key bigint, at bigint")
 
 
 def _joined(held: list[np.ndarray], batch: pa.RecordBatch) -> list[np.ndarray]:
     """Held rows and those of a batch, all sorted by key and n; each text once under a key, also if its row is repeated."""
-    new = [batch.column(c).to_numpy() for c in ("key", "n", "at")]
-    key, n, at = [np.concatenate(c) for c in zip(held, new, strict=True)] if held else new
+    rows = [batch.column(c).to_numpy() for c in ("key", "n", "at", "first")]
+    if held:
+        rows = [np.concatenate(c) for c in zip(held, rows, strict=True)]
+    key, n = rows[:2]
     fresh = np.r_[True, (key[1:] != key[:-1]) | (n[1:] != n[:-1])]
-    return [key[fresh], n[fresh], at[fresh]]
+    return [c[fresh] for c in rows]
+
 
+def _runs(key: np.ndarray, n: np.ndarray, at: np.ndarray, first: np.ndarray, similarity: float) -> Iterator[pa.RecordBatch]:
+    """Of sorted keys: the possible pairs under each that few texts share, and the rows of the others.
 
-def _runs(key: np.ndarray, n: np.ndarray, at: np.ndarray, similarity: float) -> Iterator[pa.RecordBatch]:
-    """Of sorted keys: the possible pairs under each that few texts share, and the rows of the others."""
+    Two texts whose first keys are equal meet there, so they do not come again under the next.
+    """
     start = np.flatnonzero(np.r_[True, key[1:] != key[:-1]][: len(key)])
     length = np.repeat(np.diff(np.r_[start, len(key)]), np.diff(np.r_[start, len(key)]))
     names = ["a", "b", "key", "at"]
@@ -215,12 +230,12 @@ def _runs(key: np.ndarray, n: np.ndarray, at: np.ndarray, similarity: float) ->
     if crowd.any():
         yield pa.RecordBatch.from_arrays([pa.array(n[crowd]), pa.nulls(int(crowd.sum()), pa.int64()), pa.array(key[crowd]), pa.array(at[crowd])], names)
     few = (length > 1) & ~crowd
-    key, n, at = key[few], n[few], at[few]
+    key, n, at, first = key[few], n[few], at[few], first[few]
     for d in range(1, ALL_PAIRS):
         i = np.flatnonzero(key[d:] == key[:-d])
         if not len(i):
             break
-        i = i[_possible(at[i], at[i + d], similarity)]
+        i = i[_possible(at[i], at[i + d], similarity) & ((first[i] != first[i + d]) | (first[i] == key[i]))]
         none = pa.nulls(len(i), pa.int64())
         yield pa.RecordBatch.from_arrays([pa.array(np.minimum(n[i], n[i + d])), pa.array(np.maximum(n[i], n[i + d])), none, none], names)
 
@@ -319,21 +334,15 @@ def similar_components(known: DataFrame, docs: DataFrame, size: int, similarity:
         crowd = materialise(crowd.join(known.select("n", "fp", "bits"), "n"))
         pairs = pairs.union(_first_pairs(crowd))
     pairs = materialise(_bounded(pairs.distinct(), known, similarity))
-    # Written out, so that Spark knows its size when it plans the join with the texts.
     asked = materialise(_ends(pairs).union(crowd.select("n")).distinct().join(known.select("n", "least"), "n"))
-
-    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for piece in text_slices(batch, "raw"):
-                found = [np.unique(hashes(t, size)).tobytes() for t in texts_of(piece, "raw")]
-                yield pa.RecordBatch.from_arrays([piece.column("n"), pa.array(found, pa.binary())], ["n", "shingles"])
-
-    shingles = materialise(_numbered(docs, asked, id_col, text_col).mapInArrow(sets, "n bigint, shingles binary"))
+    shingles = materialise(_sets(docs, asked, size, id_col, text_col))
     parts = connected_components(_verified(pairs, shingles, similarity))
     for nearest in (NEAREST, 0) if crowded else ():
         more = materialise(_unconnected(crowd, parts, similarity, hot_slot, nearest))
-        some = shingles.join(materialise(_ends(more)), "n", "left_semi")
-        parts = connected_components(_verified(more, some, similarity).union(parts.select(F.col("vertex").alias("a"), F.col("component").alias("b"))))
+        some = shingles.join(_ends(more), "n", "left_semi")
+        before, parts = parts, connected_components(_verified(more, some, similarity).union(parts.select(F.col("vertex").alias("a"), F.col("component").alias("b"))))
+        discard(more, before)
+    discard(shared, pairs, asked, shingles, *[crowd] * crowded)
     return parts
 
 
