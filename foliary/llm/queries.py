@@ -51,7 +51,8 @@ def op4_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     cut = suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"), length=400)
-    return cut.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("bigint").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+    left = F.make_valid_utf8(F.col("kept").cast("string"))
+    return cut.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("bigint").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"), left.alias("text"))
 
 
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -9,8 +9,8 @@ place too, in the same or another text.
    need to be held against each other. Consecutive windows share an anchor;
    their bytes together are its context.
 2. *Counts.* A first pass counts anchor hashes, nothing else. Those that occur
-   twice are marked in a bitmap of fixed size, and a second pass describes only
-   marked anchors (a false mark costs a row, never a result). Contexts that
+   twice are marked in a bitmap sized by their number, and a second pass
+   describes only marked anchors (a false mark costs a row, never a result). Contexts that
    occur twice in whole repeat in all their windows. These are counts, combined
    before the shuffle, so exact copies and passages in a third of all rows are
    cheap.
@@ -27,7 +27,6 @@ place too, in the same or another text.
 
 from __future__ import annotations
 
-
 from collections.abc import Iterator
 
 import numpy as np
@@ -36,7 +35,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from foliary.llm.common import hold, map_texts, materialise, sorted_groups, texts_of, text_slices
+from foliary.llm.common import discard, hold, map_texts, marked, marks, materialise, sorted_groups, text_slices, texts_of
 from foliary.llm.windows import gram_hashes, rightmost_minima
 
 #: Bytes of a repeated string.
@@ -47,8 +46,6 @@ HOT_CONTEXTS = 1024
 BLOCK_BYTES = 512 << 10
 #: Mixed intervals up to this size are spread out symbol by symbol; larger ones use rank queries.
 SMALL = 64
-#: Bits of the bitmap that marks repeated anchors (8 MiB, whatever the corpus).
-MARK_BITS = 1 << 26
 
 
 def gram_of(length: int) -> int:
@@ -218,28 +215,16 @@ def _anchor_hashes(keyed: DataFrame, length: int) -> DataFrame:
     return map_texts(keyed, ["raw"], "raw", "anchor bigint", work)
 
 
-def _marks(repeated: DataFrame) -> bytes:
-    """MARK_BITS bits, set where a repeated anchor falls; collected in at most MARK_BITS / 2**15 pieces."""
-    place = F.pmod("anchor", F.lit(MARK_BITS))
-    pieces = repeated.select(F.floor(place / 32768).cast("int").alias("piece"), (place % 32768).alias("bit")).groupBy("piece").agg(F.bitmap_construct_agg("bit").alias("bits")).collect()
-    out = bytearray(MARK_BITS // 8)
-    for r in pieces:
-        out[r["piece"] * 4096 : r["piece"] * 4096 + len(r["bits"])] = r["bits"]
-    return bytes(out)
-
-
-def _anchor_rows(keyed: DataFrame, length: int, marks: bytes) -> DataFrame:
+def _anchor_rows(keyed: DataFrame, length: int, bitmap: np.ndarray) -> DataFrame:
     """Where marked anchors are, and what their contexts hash to."""
-    shipped = keyed.sparkSession.sparkContext.broadcast(marks)
+    shipped = keyed.sparkSession.sparkContext.broadcast(bitmap)
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-        marked = np.frombuffer(shipped.value, np.uint8)
         who, grams, ctx, lo, hi, pos = [], [], [], [], [], []
         for i, text in enumerate(texts_of(batch, "raw")):
             raw = text.encode("utf-8")
             h, at, first, last = anchors(raw, length)
-            bit = h & np.uint64(MARK_BITS - 1)
-            keep = np.flatnonzero(marked[bit >> np.uint64(3)] >> (bit & np.uint64(7)).astype(np.uint8) & 1)
+            keep = np.flatnonzero(marked(shipped.value, h))
             if len(keep):
                 h, at, first, last = h[keep], at[keep], first[keep], last[keep]
                 who.append(np.full(len(h), i))
@@ -330,8 +315,9 @@ def _by_windows(contexts: DataFrame, length: int) -> DataFrame:
 def repeated_ranges(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id", text_col: str = "text", hot_contexts: int = HOT_CONTEXTS) -> DataFrame:
     """(key, t1, t2, ranges array<struct<first, last>>): starts of repeated windows per text that has any."""
     keyed = _keyed(docs, id_col, text_col)
-    repeated = _anchor_hashes(keyed, length).groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1")
-    shared = materialise(_anchor_rows(keyed, length, _marks(repeated)))
+    repeated = materialise(_anchor_hashes(keyed, length).groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1").select("anchor"))
+    shared = materialise(_anchor_rows(keyed, length, marks(repeated, "anchor")))
+    discard(repeated)
     # Written out, so that the join by anchor has plain shuffles on both sides, of which Spark can split a hot anchor.
     by_ctx = materialise(shared.groupBy("anchor", "ctx").agg(F.count("*").alias("n"), F.min(F.struct("key", "t1", "t2", "pos", "lo", "hi")).alias("at")))
     by_anchor = by_ctx.groupBy("anchor").agg(F.count("*").alias("n_ctx")).where("n_ctx > 1")
@@ -340,7 +326,9 @@ def repeated_ranges(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id
     whole = by_ctx.where("n > 1").select("anchor", "ctx", F.lit(0).alias("start_from"), (F.col("at.hi") - F.col("at.lo")).alias("start_to"))
     parts = whole.unionByName(_by_suffixes(contexts, length)).unionByName(_by_windows(contexts, length))
     placed = shared.join(parts, ["anchor", "ctx"]).select("key", "t1", "t2", F.struct((F.col("lo") + F.col("start_from")).alias("first"), (F.col("lo") + F.col("start_to")).alias("last")).alias("r"))
-    return placed.groupBy("key", "t1", "t2").agg(F.collect_set("r").alias("ranges"))
+    ranges = materialise(placed.groupBy("key", "t1", "t2").agg(F.collect_set("r").alias("ranges")))
+    discard(shared, by_ctx, contexts)
+    return ranges
 
 
 def cut(raw: bytes, ranges: list[dict], length: int) -> tuple[bytes, list[tuple[int, int]]]:
@@ -366,7 +354,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id"
     like any other, so a row that repeats another loses all bytes that a window
     covers. Texts shorter than ``length`` keep everything.
     """
-    ranges = materialise(repeated_ranges(docs, length, id_col, text_col, hot_contexts))
+    ranges = repeated_ranges(docs, length, id_col, text_col, hot_contexts)
     joined = _keyed(docs, id_col, text_col).join(ranges, ["key", "t1", "t2"], "left")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -382,8 +370,6 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id"
     return joined.select("row_id", "raw", "ranges").mapInArrow(run, f"`{id_col}` {kind}, n_bytes bigint, n_removed bigint, spans array<struct<`from`:bigint,`to`:bigint>>, kept binary")
 
 
-
-
 def kept_texts(cut_rows: DataFrame, id_col: str = "doc_id") -> DataFrame:
     """(id, kept_text) of rows of :func:`remove_repeats`: what is left as text, without characters of which only some bytes are left."""
 
