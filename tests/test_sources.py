@@ -99,11 +99,58 @@ def test_openapi():
     with pytest.raises(openapi.SpecError):
         openapi.deref({"$ref": "#/a"}, {"a": {"$ref": "#/b"}, "b": {"$ref": "#/a"}})
     assert openapi.unique_path("a.md", {"a.md", "a-2.md"}) == "a-3.md"
-    link = openapi.corpus_link("operations", "x/a.yaml", {"y/b.yaml": {"definitions": {"T": {}}}})
+    link = openapi.corpus_link("operations", "x/a.yaml", {("y/b.yaml", "T")})
     assert link("../y/b.yaml#/definitions/T") == "../../../y/b/schemas/T.md"
     assert link("https://e.com/b.yaml#/definitions/T") is None and link("../../z.yaml#/definitions/T") is None
 
 
+def test_openapi_v2_shape():
+    spec = openapi.load("""
+swagger: '2.0'
+basePath: /v1
+host: h.test
+schemes: [http, https]
+consumes: [text/csv]
+tags: [{name: t}]
+security: [{k: []}]
+paths:
+  /f:
+    parameters: [{name: x, in: query, type: array, items: {type: string}}, {name: b, in: body, schema: {}}]
+    post:
+      produces: [text/plain]
+      parameters: [{name: f, in: formData, type: file, required: true}, {name: g, in: formData, type: string}, {$ref: '#/parameters/P'}]
+      responses: {200: {description: ok, schema: {type: array, items: {$ref: '#/definitions/D'}}, headers: {H: {type: string}}}, 400: {$ref: '#/responses/E'}}
+    put:
+      parameters: [{name: b, in: body, required: true, description: all, schema: {$ref: '#/definitions/D'}}]
+definitions: {D: {type: object}}
+parameters: {P: {name: p, in: header, type: integer, maximum: 9}}
+responses: {E: {description: bad}}
+securityDefinitions: {b: {type: basic}, k: {type: apiKey, name: n, in: header}, o: {type: oauth2, flow: accessCode, authorizationUrl: a, tokenUrl: t, scopes: {r: read}}}
+""")
+    new = openapi.swagger_to_openapi(spec)
+    assert new["servers"] == [{"url": "http://h.test/v1"}, {"url": "https://h.test/v1"}] and new["tags"] == [{"name": "t"}] and new["security"] == [{"k": []}]
+    f = new["paths"]["/f"]
+    assert f["parameters"] == [{"name": "x", "in": "query", "schema": {"type": "array", "items": {"type": "string"}}}]
+    form = f["post"]["requestBody"]["content"]["application/x-www-form-urlencoded"]["schema"]
+    assert form["properties"] == {"f": {"type": "file"}, "g": {"type": "string"}} and form["required"] == ["f"]
+    assert f["post"]["parameters"] == [{"$ref": "#/components/parameters/P"}] and "produces" not in f["post"]
+    assert f["post"]["responses"]["200"]["content"] == {"text/plain": {"schema": {"type": "array", "items": {"$ref": "#/components/schemas/D"}}}}
+    assert f["post"]["responses"]["400"] == {"$ref": "#/components/responses/E"}
+    assert f["put"]["requestBody"] == {"content": {"text/csv": {"schema": {"$ref": "#/components/schemas/D"}}}, "required": True, "description": "all"}
+    assert new["components"]["parameters"]["P"]["schema"] == {"type": "integer", "maximum": 9}
+    assert new["components"]["securitySchemes"] == {"b": {"type": "http", "scheme": "basic"}, "k": {"type": "apiKey", "name": "n", "in": "header"}, "o": {"type": "oauth2", "flows": {"authorizationCode": {"authorizationUrl": "a", "tokenUrl": "t", "scopes": {"r": "read"}}}}}
+    assert spec["paths"]["/f"]["put"]["parameters"][0]["schema"]["$ref"] == "#/definitions/D"
+
+
+def test_openapi_corpus(spark):
+    a = "openapi: 3.0.0\npaths:\n  /x:\n    get:\n      responses:\n        '200':\n          content: {application/json: {schema: {$ref: 'm/b.yaml#/components/schemas/T'}}}\n        '404':\n          content: {application/json: {schema: {$ref: 'm/b.yaml#/components/schemas/None'}}}\n        default:\n          content: {application/json: {schema: {$ref: 'https://h/b.yaml#/definitions/T'}}}\n"
+    b = "openapi: 3.0.0\ncomponents:\n  schemas:\n    T: {type: object}\n"
+    rows = spark.createDataFrame([("j", "s/a.yaml", a), ("j", "s/m/b.yaml", b), ("k", "s/a.yaml", a), ("k", "s/bad.yaml", "openapi: [")], "job string, path string, text string")
+    got = {(r["corpus"], r["spec_path"], r["relative_path"]): r for r in openapi.read_specs(rows, corpus="job").collect()}
+    assert "| `200` |  | [T](../../m/b/schemas/T.md) |\n| `404` |  |  |\n| `default` |  |  |" in got["j", "s/a.yaml", "operations/get-x.md"]["body"]
+    assert "[T]" not in got["k", "s/a.yaml", "operations/get-x.md"]["body"] and got["k", "s/bad.yaml", None]["error"]
+
+
 def test_html():
     page = "<html><body><nav>no</nav><article><h2>Head</h2><p>a <b>b</b><br>c<p>d<ul><li>x<li>y</ul><pre class='language-py'>\nprint(1)\n</pre></article></body></html>"
     out = html.main_content(page)
