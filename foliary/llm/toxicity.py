@@ -1,8 +1,9 @@
 """Toxicity by gradient-boosted trees over dense text features, calibrated by isotonic regression.
 
-A bounded sample of labelled rows is fitted: one part finds words and word
-stems that go with the label (the learned lexicon), another grows the trees, a
-third calibrates. Features of a document are densities of a fixed and of the
+A bounded sample of labelled rows is fitted, cross-fitted over folds: words and
+word stems that go with the label (the learned lexicon) are found in the other
+folds of a row, trees grow on features so found, and what trees of the other
+folds say of a row calibrates. Features of a document are densities of a fixed and of the
 learned lexicon, closeness to second-person words, capitals, punctuation and
 signs of obfuscation; language, source and id are no inputs. Every document is
 scored whole, in place, without a shuffle.
@@ -12,7 +13,6 @@ from __future__ import annotations
 
 import re
 import zlib
-from collections import Counter
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -21,13 +21,17 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from foliary.llm.bpe import WordCache
-from foliary.llm.common import hold, map_texts, text_slices, texts_of
+from foliary.llm.common import bound_batches, discard, hold, map_texts, materialise, text_slices, texts_of
 from foliary.llm.trees import BoostedTrees, isotonic
 
 #: The bound on labelled rows that are fitted.
-MOST_ROWS = 8_000
-#: Below this many rows all parts are fitted on all of them.
-SPLIT_FROM = 3_000
+MOST_ROWS = 12_000
+#: Folds of the fit.
+FOLDS = 5
+#: Share of a score that is the trees' own probability.
+ORDER_SHARE = 0.01
+#: Toxic documents that must hold a stem.
+LEAST_HOLDERS = 4
 #: The bound on learned stems.
 MOST_STEMS = 400
 THRESHOLD = 0.3
@@ -80,6 +84,10 @@ class Model:
     def __getstate__(self):
         return {k: v for k, v in self.__dict__.items() if k != "_codes"}
 
+    def release(self) -> None:
+        """Forget the words met so far."""
+        self.__dict__.pop("_codes", None)
+
     def code(self, word: str) -> int:
         plain = clean(word)
         out = 0
@@ -104,7 +112,6 @@ class Model:
     def features(self, text: str) -> np.ndarray:
         codes = self.__dict__.get("_codes")
         if codes is None:
-            hold(f"toxicity {id(self)}", lambda: self.__dict__.pop("_codes", None))
             codes = self.__dict__["_codes"] = WordCache(self.code)
             self.weights = np.zeros(len(self.stems) + 1)
             for number, weight in self.stems.values():
@@ -146,77 +153,126 @@ class Model:
         if not texts:
             return np.zeros(0)
         raw = self.trees.raw(np.stack([self.features(t) for t in texts]))
-        return np.clip(np.interp(raw, *self.knots), 0.0, 1.0)
+        level = np.interp(raw, *self.knots)
+        if self.trees.feature is not None:  # within a calibrated step the trees' order stays
+            level = (1 - ORDER_SHARE) * level + ORDER_SHARE / (1 + np.exp(-raw))
+        return np.clip(level, 0.0, 1.0)
 
 
-def learn_stems(texts: list[str], labels: np.ndarray) -> dict[str, tuple[int, float]]:
-    """Words and beginnings of words that more toxic documents hold than their share explains.
+@dataclass
+class StemCounts:
+    """In how many labelled documents of each fold a stem is, by label; and how many there are."""
+
+    names: list[str]
+    held: np.ndarray  # label x fold x stem
+    documents: np.ndarray  # label x fold
+
+    def learned(self, folds: list[int]) -> dict[str, tuple[int, float]]:
+        """Stems that more toxic documents of the folds hold than their share explains.
+
+        A stem is kept if its documents are at least 6 standard deviations more
+        toxic than all; its weight is the smoothed log odds ratio.
+        """
+        clean_n, toxic_n = self.documents[:, folds].sum(axis=1).tolist()
+        if not min(clean_n, toxic_n):
+            return {}
+        p = toxic_n / (clean_n + toxic_n)
+        b, a = self.held[:, folds].sum(axis=1).astype(float)
+        z = (a - (a + b) * p) / np.sqrt(np.maximum(a + b, 1) * p * (1 - p))
+        weight = np.log((a + 0.5) / (toxic_n + 1)) - np.log((b + 0.5) / (clean_n + 1))
+        kept = sorted((-z[i], self.names[i], float(weight[i])) for i in np.flatnonzero((a >= LEAST_HOLDERS) & (z >= 6)))
+        return {stem: (n, w) for n, (_, stem, w) in enumerate(kept[:MOST_STEMS], 1)}
+
+
+def near_key(words: list[str]) -> int:
+    """The least hash of a text's word triples: near copies have the same one mostly."""
+    return min((zlib.crc32(" ".join(words[i : i + 3]).encode("utf-8", "replace")) for i in range(max(1, len(words) - 2))), default=0)
+
+
+def _words(text: str) -> list[str]:
+    return [w for w in map(clean, text.split()) if len(w) > 2]
 
-    Near copies count once (documents with the same least hash of their word
-    triples are one). A stem is kept if its documents are at least 6 standard
-    deviations more toxic than all; its weight is the smoothed log odds ratio.
-    """
-    seen: set[tuple[int, int]] = set()
-    toxic, clean_ = Counter(), Counter()
-    n = [0, 0]
-    # Toxic texts first: of the others only stems that those hold are counted, so memory follows the few.
-    for i in np.argsort(-labels, kind="stable").tolist():
-        text, y = texts[i], labels[i]
-        words = [w for w in map(clean, text.split()) if len(w) > 2]
-        least = min((zlib.crc32(" ".join(words[i : i + 3]).encode()) for i in range(max(1, len(words) - 2))), default=0)
-        if (least, int(y)) in seen:
-            continue
-        seen.add((least, int(y)))
-        n[int(y)] += 1
-        found = {s for w in set(words) for s in stems_of(w)}
-        if y:
-            toxic.update(found)
-        else:
-            clean_.update(s for s in found if s in toxic)
-    if not min(n):
-        return {}
-    p = n[1] / (n[0] + n[1])
-    kept = []
-    for stem, a in toxic.items():
-        b = clean_[stem]
-        if a >= 4:
-            z = (a - (a + b) * p) / np.sqrt((a + b) * p * (1 - p))
-            if z >= 6:
-                kept.append((z, stem, float(np.log((a + 0.5) / (n[1] + 1)) - np.log((b + 0.5) / (n[0] + 1)))))
-    kept.sort(key=lambda x: (-x[0], x[1]))
-    return {stem: (i + 1, weight) for i, (_, stem, weight) in enumerate(kept[:MOST_STEMS])}
-
-
-def fit(texts: list[str], labels: np.ndarray) -> Model:
-    """Stems, trees and calibration; of labels of one kind only, the constant score of that kind."""
-    model = Model()
-    if not len(labels) or labels.min() == labels.max():
-        level = float(labels.mean()) if len(labels) else 0.0
-        model.trees.base = 0.0
-        model.knots = (np.zeros(1), np.array([level]))
-        return model
-    part = np.array([zlib.crc32(t.encode("utf-8", "replace")) % 10 for t in texts])  # copies fall into one part
-    split = len(texts) >= SPLIT_FROM
-    use = lambda which: np.flatnonzero(np.isin(part, which)) if split else np.arange(len(texts))
-    a, b, c = use([0, 1, 2, 3]), use([4, 5, 6, 7]), use([8, 9])
-    model.stems = learn_stems([texts[i] for i in a], labels[a])
-    x = np.stack([model.features(t) for t in texts])
-    model.trees.fit(x[b], labels[b].astype(float))
-    model.knots = isotonic(model.trees.raw(x[c]), labels[c].astype(float))
-    hold("nothing")  # the driver goes on without the words it has met
-    return model
+
+def _count_stems(sample: DataFrame) -> StemCounts:
+    """Counts over the sample (raw, label), in which texts of one near key and label count once. Texts stay on the executors."""
+
+    def run(batches):
+        hold("toxicity stems")
+        for batch in batches:
+            for piece in text_slices(batch, "raw"):
+                words = [_words(t) for t in texts_of(piece, "raw")]
+                keys = [near_key(w) for w in words]
+                found = [sorted({s for x in set(w) for s in stems_of(x)}) for w in words]
+                yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), piece.column("label"), piece.column("h"), pa.array(found, pa.list_(pa.string()))], ["near", "label", "h", "stems"])
+
+    told = sample.mapInArrow(run, "near bigint, label int, h bigint, stems array<string>")
+    once = materialise(told.groupBy("near", "label").agg(F.min_by("stems", "h").alias("stems")).withColumn("fold", F.col("near") % FOLDS))
+    kinds = [(y, k) for y in (0, 1) for k in range(FOLDS)]
+    here = lambda y, k: F.count_if((F.col("label") == y) & (F.col("fold") == k))
+    documents = np.array(once.agg(*[here(y, k) for y, k in kinds]).first(), np.int64).reshape(2, FOLDS)
+    by_stem = once.select("label", "fold", F.explode("stems").alias("stem")).groupBy("stem").agg(*[here(y, k).alias(f"n{y}_{k}") for y, k in kinds])
+    table = by_stem.where(sum(F.col(f"n1_{k}") for k in range(FOLDS)) >= LEAST_HOLDERS).toArrow()
+    held = np.array([table[f"n{y}_{k}"].to_numpy() for y, k in kinds], np.int64).reshape(2, FOLDS, -1)
+    names = table["stem"].to_pylist()
+    discard(once)
+    return StemCounts(names, held, documents)
+
+
+def _features(sample: DataFrame, models: list[Model]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Features, labels and folds of the sample; each text is seen through the stems of the folds that it is not in."""
+    shipped = sample.sparkSession.sparkContext.broadcast(models)
+
+    def run(batches):
+        hold("toxicity fit", lambda: [m.release() for m in shipped.value])
+        for batch in batches:
+            for piece in text_slices(batch, "raw"):
+                texts = texts_of(piece, "raw")
+                folds = [near_key(_words(t)) % FOLDS for t in texts]
+                x = [shipped.value[k].features(t) for k, t in zip(folds, texts, strict=True)]
+                yield pa.RecordBatch.from_arrays([piece.column("h"), piece.column("label"), pa.array(folds, pa.int32()), pa.array(x, pa.list_(pa.float64()))], ["h", "label", "fold", "x"])
+
+    found = sample.mapInArrow(run, "h bigint, label int, fold int, x array<double>").toArrow()
+    order = np.lexsort((found["label"].to_numpy(), found["h"].to_numpy()))
+    x = found["x"].combine_chunks().flatten().to_numpy().reshape(-1, len(NAMES))
+    return x[order], found["label"].to_numpy()[order].astype(float), found["fold"].to_numpy()[order]
+
+
+def cross_fitted(x: np.ndarray, y: np.ndarray, fold: np.ndarray) -> tuple[BoostedTrees, tuple[np.ndarray, np.ndarray]]:
+    """Trees of all rows, and the isotonic calibration of what trees of the other folds say of each row."""
+    raw = np.zeros(len(y))
+    for k in np.unique(fold):
+        rest = fold != k
+        if rest.any():
+            raw[~rest] = BoostedTrees().fit(x[rest], y[rest]).raw(x[~rest])
+    return BoostedTrees().fit(x, y), isotonic(raw, y)
 
 
 def train(docs: DataFrame, labels: DataFrame, most_rows: int = MOST_ROWS, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> Model:
     """Fit on at most ``most_rows`` labelled rows that are not held out, chosen by a hash of the id.
 
-    Rows with a null label, null id or no document are left out; of documents
-    with equal ids each row is used.
+    Rows with a null label, null id or no document are left out. An id with
+    two labels is fitted with both; of documents with equal ids one text (the
+    least) is. Labels of one kind only give the constant score of that kind,
+    none give 0. The rule is one at all sizes: stems, trees and calibration are
+    cross-fitted over FOLDS folds, in which near copies share a fold. The
+    driver gets counts and features, never texts.
     """
-    chosen = labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull() & ~held_out(F.col(id_col))).select(F.col(id_col).alias("labelled"), F.col(label_col).alias("label")).distinct()
+    told = (F.col(label_col) > 0).cast("int").alias("label")
+    chosen = labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull() & ~held_out(F.col(id_col))).select(F.col(id_col).alias("labelled"), told).distinct()
     chosen = chosen.orderBy(F.xxhash64("labelled"), "labelled", "label").limit(most_rows)
-    rows = docs.select(F.col(id_col).alias("labelled"), F.coalesce(F.col(text_col), F.lit("")).alias("raw")).join(F.broadcast(chosen), "labelled").orderBy("labelled", "label", "raw").select("raw", "label").toArrow()
-    return fit(rows.column("raw").to_pylist(), np.array(rows.column("label").to_pylist(), np.int64))
+    texts = docs.select(F.col(id_col).alias("labelled"), F.coalesce(F.col(text_col), F.lit("")).alias("raw")).join(F.broadcast(chosen), "labelled")
+    bound_batches(docs.sparkSession)
+    sample = materialise(texts.groupBy("labelled", "label").agg(F.min("raw").alias("raw")).select("raw", "label", F.xxhash64("raw", "labelled").alias("h")))
+    model = Model()
+    n = {r["label"]: r["count"] for r in sample.groupBy("label").count().collect()}
+    if len(n) < 2:
+        model.knots = (np.zeros(1), np.array([float(*n)] if n else [0.0]))
+        return model
+    counts = _count_stems(sample)
+    model.stems = counts.learned(list(range(FOLDS)))
+    model.trees, model.knots = cross_fitted(*_features(sample, [Model(counts.learned([f for f in range(FOLDS) if f != k])) for k in range(FOLDS)]))
+    discard(sample)
+    return model
 
 
 def score(docs: DataFrame, model: Model, threshold: float = THRESHOLD, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -224,6 +280,7 @@ def score(docs: DataFrame, model: Model, threshold: float = THRESHOLD, id_col: s
     shipped = docs.sparkSession.sparkContext.broadcast(model)  # bounded by MOST_STEMS, trees and knots
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
+        hold(f"toxicity {id(shipped.value)}", shipped.value.release)
         s = shipped.value.score(texts_of(batch, text_col))
         return pa.RecordBatch.from_arrays([batch.column(id_col), pa.array(s), pa.array((s >= threshold).astype(np.int32))], [id_col, "score", "predicted"])
 
@@ -236,6 +293,7 @@ def toxic_filter(docs: DataFrame, model: Model, threshold: float = THRESHOLD, te
     shipped = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches):
+        hold(f"toxicity {id(shipped.value)}", shipped.value.release)
         for batch in batches:
             for piece in text_slices(batch, text_col):
                 clean = shipped.value.score(texts_of(piece, text_col)) < threshold
