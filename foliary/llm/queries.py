@@ -65,7 +65,7 @@ def op7_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op8_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = chat.with_control_conversation(table(spark, sf_dir, "conversations"))
-    return chat.digests(chat.format_chats(rows)).drop("valid")
+    return chat.digests(chat.format_chats(rows))
 
 
 def op9_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -96,7 +96,8 @@ select conv_id, count(*) as n_turns,
        sha256(string_agg(told, '' order by turn, role, text)) as turns_sha256,
        cast(coalesce(sum(length(text)) filter (role = 'assistant'), 0) as bigint) as loss_chars,
        sha256(coalesce(string_agg(text, '' order by turn, role, text) filter (role = 'assistant'), '')) as loss_sha256,
-       cast(sum(length(written)) as bigint) as formatted_chars
+       cast(sum(length(written)) as bigint) as formatted_chars,
+       regexp_matches(string_agg(role || ';', '' order by turn, role, text), '^(system;)?user;assistant;((user;|(tool;)+)assistant;)*$') as valid
 from marked group by conv_id
 """,
 }
