@@ -32,35 +32,41 @@ def weights_with(defaults: Mapping[str, float], overrides: Mapping[str, float] |
 
 
 def char_density(text: Column, images: Column) -> Column:
-    n = F.length(strip(text))
-    return F.when((n >= 200) | (F.coalesce(images, F.lit(0)) == 0), 0.0).otherwise(1.0 - n / 200.0)
+    sparse = let(F.length(strip(text)), lambda n: F.when(n >= 200, 0.0).otherwise(1.0 - n / 200.0))
+    return F.when(F.coalesce(images, F.lit(0)) == 0, 0.0).otherwise(sparse)
 
 
 def needs_ocr(text: Column, images: Column) -> Column:
     return char_density(text, images) > 0
 
 
+def _share(part: Column, text: Column, of) -> Column:
+    """``of`` the share that a count has of a text's length, the count taken once; 0 of the empty text."""
+    return F.when(F.length(text) == 0, 0.0).otherwise(let(part / F.length(text), of))
+
+
 def non_ascii_ratio(text: Column) -> Column:
     """Share of unassigned, private or unprintable characters beyond a twentieth, over 0.15."""
-    odd = F.length(F.regexp_replace(F.translate(text, "\n\r\t ", ""), r"[^\p{C}\p{Zl}\p{Zp}\p{Zs}]", ""))
-    ratio = odd / F.length(text)
-    return F.when(F.length(text) == 0, 0.0).when(ratio <= 0.05, 0.0).otherwise(F.least(F.lit(1.0), (ratio - 0.05) / 0.15))
+    odd = F.length(F.regexp_replace(F.translate(text, "\n\r\t ", ""), r"[^\p{C}\p{Zl}\p{Zp}\p{Zs}]+", ""))
+    return _share(odd, text, lambda r: F.when(r <= 0.05, 0.0).otherwise(F.least(F.lit(1.0), (r - 0.05) / 0.15)))
 
 
 def long_unbroken_line(text: Column) -> Column:
     few = lambda l: F.size(F.filter(F.split(l, r"\s+"), lambda w: w != "")) <= 20
-    return F.when(F.exists(F.split(text, LINE_END), lambda l: (F.length(l) >= 200) & few(l)), 1.0).otherwise(0.0)
+    # Most texts have no such line: a text shorter than one is not even cut into lines.
+    return F.when(F.length(text) < 200, 0.0).when(F.exists(F.split(text, LINE_END), lambda l: (F.length(l) >= 200) & few(l)), 1.0).otherwise(0.0)
 
 
 def column_gap(text: Column) -> Column:
     kept = F.filter(F.split(text, LINE_END), lambda l: strip(l) != "")
-    ratio = F.size(F.filter(kept, lambda l: l.rlike(r"\S {6,}\S"))) / F.size(kept)
-    return F.when(F.size(kept) == 0, 0.0).when(ratio < 0.3, 0.0).otherwise(F.least(F.lit(1.0), ratio / 0.5))
+    gapped = lambda ls: F.size(F.filter(ls, lambda l: l.contains("      ") & l.rlike(r"\S {6,}\S"))) / F.size(ls)
+    told = let(kept, lambda ls: let(F.when(F.size(ls) > 0, gapped(ls)).otherwise(0.0), lambda r: F.when(r < 0.3, 0.0).otherwise(F.least(F.lit(1.0), r / 0.5))))
+    return F.when(text.contains("      "), told).otherwise(0.0)
 
 
 def table_char_density(text: Column) -> Column:
-    d = (F.length(text) - F.length(F.translate(text, "|│─━═", ""))) / F.length(text)
-    return F.when(F.length(text) == 0, 0.0).when(d < 0.02, 0.0).otherwise(F.least(F.lit(1.0), (d - 0.02) / 0.04))
+    lines_ = F.length(text) - F.length(F.translate(text, "|│─━═", ""))
+    return _share(lines_, text, lambda d: F.when(d < 0.02, 0.0).otherwise(F.least(F.lit(1.0), (d - 0.02) / 0.04)))
 
 
 def image_heavy(images: Column) -> Column:
@@ -88,8 +94,8 @@ def x_clusters(xs: Column, gap: float = 10.0) -> Column:
 
 def layout_complexity(text: Column, xs: Column) -> Column:
     count = F.greatest(F.lit(1), F.size(F.filter(F.split(text, LINE_END), lambda l: strip(l) != "")))
-    clusters = F.coalesce(x_clusters(xs), F.lit(0))
-    return F.when(clusters == 0, 0.0).otherwise(F.greatest(F.lit(0.0), F.least(F.lit(1.0), (clusters - count) / 4.0)))
+    # A line is there at least, so with one cluster or none the lines need not be counted.
+    return let(F.coalesce(x_clusters(xs), F.lit(0)), lambda n: F.when(n <= 1, 0.0).otherwise(F.greatest(F.lit(0.0), F.least(F.lit(1.0), (n - count) / 4.0))))
 
 
 def text_flow_consistency(ys: Column) -> Column:
@@ -142,11 +148,20 @@ def pre_score(signals: Mapping[str, Column], overrides: Mapping[str, float] | No
     return F.struct(mean.alias("aggregate"), kind.alias("classification"), reason.alias("reason"))
 
 
+def word_tokens(text: Column) -> Column:
+    """The distinct lower-case word tokens."""
+    return F.array_distinct(F.regexp_extract_all(F.lower(text), F.lit(r"(?U)\w+"), F.lit(0)))
+
+
+def jaccard_tokens(x: Column, y: Column) -> Column:
+    """Shared share of two sets of tokens; 1 of two empty ones, 0 of one."""
+    both = F.size(x) + F.size(y)
+    shared = let(F.size(F.array_intersect(x, y)), lambda n: n / (both - n))
+    return F.when(both == 0, 1.0).when((F.size(x) == 0) | (F.size(y) == 0), 0.0).otherwise(shared)
+
+
 def jaccard_words(a: Column, b: Column) -> Column:
-    """Shared share of the distinct lower-case word tokens of two texts; 1 of two empty ones, 0 of one."""
-    tokens = lambda t: F.array_distinct(F.regexp_extract_all(F.lower(t), F.lit(r"(?U)\w+"), F.lit(0)))
-    x, y = tokens(a), tokens(b)
-    return F.when((F.size(x) == 0) & (F.size(y) == 0), 1.0).when((F.size(x) == 0) | (F.size(y) == 0), 0.0).otherwise(F.size(F.array_intersect(x, y)) / F.size(F.array_union(x, y)))
+    return let(word_tokens(a), lambda x: let(word_tokens(b), lambda y: jaccard_tokens(x, y)))
 
 
 # --- resource budgets -------------------------------------------------------------------

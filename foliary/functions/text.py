@@ -44,11 +44,6 @@ def positions(ls: Column, test) -> Column:
     return F.filter(F.transform(ls, lambda l, i: F.when(test(l), i)), lambda p: p.isNotNull())
 
 
-def before(marks: Column, i: Column) -> Column:
-    """How many marks lie before line i."""
-    return F.size(F.filter(marks, lambda p: p < i))
-
-
 def headings(body: Column) -> Column:
     """array<struct<line, level, text>> of ATX headings; fences are not looked at."""
     found = F.transform(split_lines(body), lambda l, i: F.when(l.rlike(HEADING), F.struct(i.alias("line"), F.length(F.regexp_extract(l, HEADING, 1)).alias("level"), F.regexp_extract(l, HEADING, 2).alias("text"))))
@@ -105,18 +100,33 @@ def lint(body: Column, doc_type: Column) -> Column:
     return F.concat(deep, F.transform(F.array_except(required, sections), lambda s: F.concat(F.lit("Missing required section: "), s)))
 
 
-def chunk_anchors(body: Column) -> Column:
-    """A numbered anchor line before each H1 to H3 outside fences; any fence line toggles."""
+def rewritten(ls: Column, marks: Column, at, head) -> Column:
+    """Lines joined again, each marked one (``at`` gives its place) as ``head(mark, k)`` says, null for none.
+
+    The cost grows with the lines, not with lines times marks.
+    """
+    rest = lambda m, k: F.slice(ls, at(m) + 2, F.coalesce(at(F.get(marks, k + 1)), F.size(ls)) - at(m) - 1)
+    there = lambda m, k: F.filter(F.concat(F.array(head(m, k)), rest(m, k)), lambda l: l.isNotNull())
+    pieces = F.transform(marks, lambda m, k: let(there(m, k), lambda ls: F.when(F.size(ls) > 0, F.array_join(ls, "\n"))))
+    lead = F.slice(ls, F.lit(1), F.coalesce(at(F.get(marks, F.lit(0))), F.size(ls)))
+    return F.array_join(F.concat(lead, pieces), "\n")
 
-    def numbered(ls: Column, heads: Column) -> Column:
-        return F.array_join(F.transform(ls, lambda l, i: F.when(F.array_contains(heads, i), F.concat(F.format_string('<a id="chunk-%04d"></a>\n', before(heads, i) + 1), l)).otherwise(l)), "\n")
 
-    return let(lines(body), lambda ls: let(_anchored(ls), lambda heads: numbered(ls, heads)))
+def chunk_anchors(body: Column) -> Column:
+    """A numbered anchor line before each H1 to H3 outside fences; any fence line toggles."""
+    head = lambda ls: lambda p, k: F.concat(F.format_string('<a id="chunk-%04d"></a>\n', k + 1), F.get(ls, p))
+    return let(lines(body), lambda ls: let(_anchored(ls), lambda heads: rewritten(ls, heads, lambda p: p, head(ls))))
 
 
 def _anchored(ls: Column) -> Column:
-    """Lines of headings that get an anchor."""
-    return let(positions(ls, lambda l: l.rlike(ANCHOR_FENCE)), lambda fences: F.filter(positions(ls, lambda l: l.rlike(ANCHOR_HEADING)), lambda p: before(fences, p) % 2 == 0))
+    """Lines of headings that get an anchor.
+
+    Heads and fences are sorted together: the k-th head at place i of both has
+    i - k fences before it.
+    """
+    marks = F.filter(F.transform(ls, lambda l, i: F.when(l.rlike(ANCHOR_FENCE), F.struct(i.alias("at"), F.lit(False).alias("head"))).when(l.rlike(ANCHOR_HEADING), F.struct(i.alias("at"), F.lit(True).alias("head")))), lambda m: m.isNotNull())
+    heads = let(marks, lambda ms: F.filter(F.transform(ms, lambda m, i: F.when(m["head"], F.struct(m["at"].alias("at"), i.alias("place")))), lambda h: h.isNotNull()))
+    return let(heads, lambda hs: F.filter(F.transform(hs, lambda h, k: F.when((h["place"] - k) % 2 == 0, h["at"])), lambda p: p.isNotNull()))
 
 
 def chunk_count(body: Column) -> Column:
@@ -127,21 +137,23 @@ def normal_levels(levels: Column) -> Column:
     """Shifted so that the least is 1, then none more than one below its predecessor.
 
     Closed form of that recurrence: the k-th level is k + min(0, min over j <= k of (level_j - j)).
+    Levels lie between 1 and 6, so that minimum is among the last six.
     """
-    gaps = let(F.array_min(levels), lambda least: F.transform(levels, lambda l, j: l - least + 1 - (j + 1)))
-    return let(gaps, lambda gap: F.transform(gap, lambda _, k: k + 1 + F.least(F.lit(0), F.array_min(F.slice(gap, F.lit(1), k + 1)))))
+    gaps = let(F.array_min(levels), lambda least: F.transform(levels, lambda l, j: l - least - j))
+    last_six = lambda gap, k: F.slice(gap, F.greatest(k - 4, F.lit(1)), F.least(k + 1, F.lit(6)))
+    return let(gaps, lambda gap: F.transform(gap, lambda _, k: k + 1 + F.least(F.lit(0), F.array_min(last_six(gap, k)))))
 
 
 def normalize_headings(body: Column) -> Column:
     """The body with its ATX heading levels made gapless."""
+    level = lambda l: F.length(F.regexp_extract(l, HEADING, 1))
+    found = lambda ls: F.filter(F.transform(ls, lambda l, i: F.when(l.rlike(HEADING), F.struct(i.alias("at"), level(l).alias("level"), strip(F.regexp_extract(l, HEADING, 2)).alias("text")))), lambda h: h.isNotNull())
 
     def written(ls: Column, heads: Column, wanted: Column) -> Column:
-        hashes = lambda i: F.repeat(F.lit("#"), F.element_at(wanted, (before(heads, i) + 1).cast("int")))
-        out = F.transform(ls, lambda l, i: F.when(F.array_contains(heads, i), F.concat(hashes(i), F.lit(" "), strip(F.regexp_extract(l, HEADING, 2)))).otherwise(l))
-        return F.when(F.size(heads) == 0, F.array_join(ls, "\n")).otherwise(F.array_join(out, "\n"))
+        head = lambda h, k: F.concat(F.repeat(F.lit("#"), F.get(wanted, k).cast("int")), F.lit(" "), h["text"])
+        return rewritten(ls, heads, lambda h: h["at"], head)
 
-    levels = lambda ls, heads: F.transform(heads, lambda p: F.length(F.regexp_extract(F.get(ls, p), HEADING, 1)))
-    return let(lines(body), lambda ls: let(positions(ls, lambda l: l.rlike(HEADING)), lambda heads: let(normal_levels(levels(ls, heads)), lambda wanted: written(ls, heads, wanted))))
+    return let(lines(body), lambda ls: let(found(ls), lambda heads: let(normal_levels(F.transform(heads, lambda h: h["level"])), lambda wanted: written(ls, heads, wanted))))
 
 
 def shift_headings(body: Column, by: int) -> Column:

@@ -242,9 +242,10 @@ j as (select doc_id, case when len(x) = 0 and len(y) = 0 then 1.0 when len(x) =
 
 @_register(_PAIRS + "select doc_id, similarity from j")
 def qa_similarity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = _docs(spark, sf_dir)
-    after = docs.select((F.col("doc_id") - 1).alias("doc_id"), F.col("text").alias("after"))
-    return docs.join(after, "doc_id").select("doc_id", scores.jaccard_words(F.col("text"), F.col("after")).cast("double").alias("similarity"))
+    # Tokens are cut before the join and travel as hashes of 64 bits, not as texts.
+    tokens = _docs(spark, sf_dir).select("doc_id", F.transform(scores.word_tokens(F.col("text")), lambda w: F.xxhash64(w)).alias("own"))
+    after = tokens.select((F.col("doc_id") - 1).alias("doc_id"), F.col("own").alias("after"))
+    return tokens.join(after, "doc_id").select("doc_id", scores.jaccard_tokens(F.col("own"), F.col("after")).cast("double").alias("similarity"))
 
 
 @_register(_PAIRS + "select count(*) as pairs, count(*) filter (similarity >= 0.9) as ge_090, count(*) filter (similarity >= 0.7 and similarity < 0.9) as ge_070, count(*) filter (similarity >= 0.5 and similarity < 0.7) as ge_050, count(*) filter (similarity < 0.5) as lt_050 from j")
