@@ -11,7 +11,9 @@ by the places of the shared shingle, which no pair of the similarity exceeds.
 Under a shingle with many texts the links of the Gray index and of a few
 leaders are verified first. Then all pairs of texts that are not yet connected
 follow in blocks, bounded by parity bitmaps: those of two sets differ in no
-more bits than the sets do in shingles. So nothing is dropped that could link.
+more bits than the sets do in shingles. Bitmaps are as wide as their sets ask
+for; a wider one folds to the width of the other, so all pairs are bounded by
+them before sets are made and moved. So nothing is dropped that could link.
 """
 
 from __future__ import annotations
@@ -32,8 +34,10 @@ from foliary.llm.simhash import gray_rank, hashes, link_edges, majority
 ALL_PAIRS, LEADERS = 48, 64
 #: Texts of a block under a shingle with many; pairs of blocks are tasks of their own.
 HOT_SLOT = 20_000
-#: Words of 64 bits in a parity bitmap.
-WORDS = 16
+#: Words of 64 bits in the least parity bitmap, by which blocks are compared, and in the largest.
+WORDS, MOST_WORDS = 16, 4096
+#: Bits of a bitmap for each shingle.
+BITS_EACH = 4
 #: Nearest unconnected texts that are tried before all.
 NEAREST = 4
 #: One of so many texts is sampled for frequent shingles; how often they must occur there, and how many are ranked.
@@ -45,23 +49,25 @@ def _signed(values) -> np.ndarray:
 
 
 def _described(docs: DataFrame, size: int, id_col: str, text_col: str) -> DataFrame:
-    """(id, t1, t2, fp, size, bits) of every row: two hashes of the text, its fingerprint, the size and bitmap of its shingle set. No shuffle."""
+    """(id, t1, t2, fp, size, bits, wide) of every row: two hashes of the text, its fingerprint, size and bitmaps of its shingle set. No shuffle."""
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
         hold("near copies")
-        fps, sizes, bits = [], [], []
+        fps, sizes, bits, wide = [], [], [], []
         for text in texts_of(batch, "raw"):
             h = hashes(text, size)
             fps.append(majority(h))
             h = np.unique(h)
             sizes.append(len(h))
-            bits.append(parity(h).tobytes())
-        return pa.RecordBatch.from_arrays([batch.column("id"), batch.column("t1"), batch.column("t2"), pa.array(_signed(fps)), pa.array(sizes, pa.int64()), pa.array(bits, pa.binary())], ["id", "t1", "t2", "fp", "size", "bits"])
+            odd = parity(h)
+            bits.append(folded(odd, WORDS).tobytes())
+            wide.append(odd.tobytes() if len(odd) > WORDS else None)
+        return pa.RecordBatch.from_arrays([batch.column("id"), batch.column("t1"), batch.column("t2"), pa.array(_signed(fps)), pa.array(sizes, pa.int64()), pa.array(bits, pa.binary()), pa.array(wide, pa.binary())], ["id", "t1", "t2", "fp", "size", "bits", "wide"])
 
     raw = F.coalesce(F.col(text_col), F.lit(""))
     rows = docs.select(F.col(id_col).alias("id"), F.xxhash64(raw).alias("t1"), F.xxhash64(F.lit(7), raw).alias("t2"), raw.alias("raw"))
     kind = docs.schema[id_col].dataType.simpleString()
-    return map_texts(rows, ["id", "t1", "t2", "raw"], "raw", f"id {kind}, t1 bigint, t2 bigint, fp bigint, size bigint, bits binary", work)
+    return map_texts(rows, ["id", "t1", "t2", "raw"], "raw", f"id {kind}, t1 bigint, t2 bigint, fp bigint, size bigint, bits binary, wide binary", work)
 
 
 def prefix(h: np.ndarray, similarity: float, ranked: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
@@ -74,11 +80,20 @@ def prefix(h: np.ndarray, similarity: float, ranked: tuple[np.ndarray, np.ndarra
 
 
 def parity(h: np.ndarray) -> np.ndarray:
-    """Bitmap of a set: a bit is set where an odd number of its shingles fall. Two differ in as many bits as the sets in shingles, or fewer."""
-    odd = np.bincount((h >> np.uint64(20)).astype(np.int64) % (64 * WORDS), minlength=64 * WORDS).astype(np.uint8) & 1
+    """Bitmap of a set: a bit is set where an odd number of its shingles fall. Two of one width differ in as many bits as the sets in shingles, or fewer."""
+    words = min(MOST_WORDS, max(WORDS, 1 << max(0, BITS_EACH * len(h) // 64 - 1).bit_length()))
+    odd = np.bincount((h >> np.uint64(20)).astype(np.int64) % (64 * words), minlength=64 * words).astype(np.uint8) & 1
     return np.packbits(odd).view(np.uint64)
 
 
+def folded(bits: np.ndarray, words: int) -> np.ndarray:
+    """Bitmaps (in the last axis) as they are in fewer words: bits that fall together are added."""
+    while bits.shape[-1] > words:
+        half = bits.shape[-1] // 2
+        bits = bits[..., :half] ^ bits[..., half:]
+    return bits
+
+
 def _most_apart(both: np.ndarray, similarity: float) -> np.ndarray:
     """Shingles in which two sets of the similarity differ at most; ``both`` are their sizes together."""
     return both - 2 * np.ceil(similarity / (1 + similarity) * both - 1e-9)
@@ -245,26 +260,35 @@ def _ends(pairs: DataFrame) -> DataFrame:
 
 
 def _bounded(pairs: DataFrame, drawn: DataFrame, similarity: float) -> DataFrame:
-    """The pairs that sizes and bitmaps do not exclude; ``drawn`` is (n, size, bits)."""
+    """The pairs that sizes and bitmaps do not exclude; ``drawn`` is (n, size, bits, wide)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if not batch.num_rows:
                 continue
-            x, y = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint64).reshape(-1, WORDS) for c in ("x", "y"))
             sx, sy = batch.column("sx").to_numpy(), batch.column("sy").to_numpy()
             keep = np.minimum(sx, sy) >= similarity * np.maximum(sx, sy) - 1e-9
-            keep &= np.bitwise_count(x ^ y).sum(axis=1, dtype=np.int64) <= _most_apart(sx + sy, similarity)
+            raw = [batch.column(c).to_pylist() for c in ("x", "y")]
+            widths = np.array([[len(b) // 8 for b in column] for column in raw])
+            for wx, wy in np.unique(widths[:, keep], axis=1).T.tolist():
+                at = np.flatnonzero(keep & (widths[0] == wx) & (widths[1] == wy))
+                for k in range(0, len(at), 4096):
+                    some = at[k : k + 4096]
+                    x, y = (folded(np.frombuffer(b"".join(column[i] for i in some), np.uint64).reshape(-1, w), min(wx, wy)) for column, w in zip(raw, (wx, wy), strict=True))
+                    keep[some] = np.bitwise_count(x ^ y).sum(axis=1, dtype=np.int64) <= _most_apart(sx[some] + sy[some], similarity)
             at = pa.array(np.flatnonzero(keep))
             yield pa.RecordBatch.from_arrays([batch.column("a").take(at), batch.column("b").take(at)], ["a", "b"])
 
-    left = drawn.select(F.col("n").alias("a"), F.col("size").alias("sx"), F.col("bits").alias("x"))
-    right = drawn.select(F.col("n").alias("b"), F.col("size").alias("sy"), F.col("bits").alias("y"))
+    widest = F.coalesce("wide", "bits")
+    left = drawn.select(F.col("n").alias("a"), F.col("size").alias("sx"), widest.alias("x"))
+    right = drawn.select(F.col("n").alias("b"), F.col("size").alias("sy"), widest.alias("y"))
     return pairs.join(left, "a").join(right, "b").select("a", "b", "sx", "sy", "x", "y").mapInArrow(run, "a bigint, b bigint")
 
 
-def _verified(pairs: DataFrame, shingles: DataFrame, similarity: float) -> DataFrame:
-    """The pairs whose shingle sets are of the similarity."""
+def _verified(pairs: DataFrame, known: DataFrame, docs: DataFrame, similarity: float, size: int, id_col: str, text_col: str) -> DataFrame:
+    """The pairs whose shingle sets are of the similarity. Only sets of texts that a pair names are made and moved."""
+    asked = materialise(_ends(pairs).join(known.select("n", "least"), "n"))
+    shingles = materialise(_sets(docs, asked, size, id_col, text_col))
     both = pairs.join(shingles.select(F.col("n").alias("a"), F.col("shingles").alias("x")), "a").join(shingles.select(F.col("n").alias("b"), F.col("shingles").alias("y")), "b")
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -280,7 +304,9 @@ def _verified(pairs: DataFrame, shingles: DataFrame, similarity: float) -> DataF
             at = pa.array(np.flatnonzero(keep))
             yield pa.RecordBatch.from_arrays([batch.column("a").take(at), batch.column("b").take(at)], ["a", "b"])
 
-    return both.select("a", "b", "x", "y").mapInArrow(verify, "a bigint, b bigint")
+    found = materialise(both.select("a", "b", "x", "y").mapInArrow(verify, "a bigint, b bigint"))
+    discard(asked, shingles)
+    return found
 
 
 def _unconnected(crowd: DataFrame, parts: DataFrame, similarity: float, block: int, nearest: int) -> DataFrame:
@@ -319,7 +345,7 @@ def _first_pairs(crowd: DataFrame) -> DataFrame:
 
 
 def similar_components(known: DataFrame, docs: DataFrame, size: int, similarity: float, radius: int, hot_slot: int, id_col: str, text_col: str) -> DataFrame:
-    """(vertex, component): distinct texts, by their numbers, connected by pairs of the similarity. ``known`` is (n, least, fp, size, bits): one row per text, ``least`` the id of a row that has it."""
+    """(vertex, component): distinct texts, by their numbers, connected by pairs of the similarity. ``known`` is (n, least, fp, size, bits, wide): one row per text, ``least`` the id of a row that has it."""
     by_fp = known.groupBy("fp").agg(F.min("n").alias("n"))
     linked = link_edges(by_fp.select("fp"), radius)
     left = by_fp.select(F.col("fp").alias("a"), F.col("n").alias("na"))
@@ -334,15 +360,19 @@ def similar_components(known: DataFrame, docs: DataFrame, size: int, similarity:
         crowd = materialise(crowd.join(known.select("n", "fp", "bits"), "n"))
         pairs = pairs.union(_first_pairs(crowd))
     pairs = materialise(_bounded(pairs.distinct(), known, similarity))
-    asked = materialise(_ends(pairs).union(crowd.select("n")).distinct().join(known.select("n", "least"), "n"))
-    shingles = materialise(_sets(docs, asked, size, id_col, text_col))
-    parts = connected_components(_verified(pairs, shingles, similarity))
+    verified = lambda found: _verified(found, known, docs, similarity, size, id_col, text_col)
+    same = verified(pairs)
+    parts = connected_components(same)
+    discard(shared, pairs)
     for nearest in (NEAREST, 0) if crowded else ():
-        more = materialise(_unconnected(crowd, parts, similarity, hot_slot, nearest))
-        some = shingles.join(_ends(more), "n", "left_semi")
-        before, parts = parts, connected_components(_verified(more, some, similarity).union(parts.select(F.col("vertex").alias("a"), F.col("component").alias("b"))))
-        discard(more, before)
-    discard(shared, pairs, asked, shingles, *[crowd] * crowded)
+        more = materialise(_bounded(_unconnected(crowd, parts, similarity, hot_slot, nearest), known, similarity))
+        if more.isEmpty():
+            discard(more)
+            break
+        new = verified(more)
+        before, parts = parts, connected_components(new.union(parts.select(F.col("vertex").alias("a"), F.col("component").alias("b"))))
+        discard(more, new, before)
+    discard(same, *[crowd] * crowded)
     return parts
 
 
@@ -354,9 +384,9 @@ def near_copy_groups(docs: DataFrame, size: int = 5, similarity: float = 0.8, ra
     their group's name, or null in a group of such rows only.
     """
     rows = materialise(_described(docs, size, id_col, text_col))
-    folded = rows.groupBy("t1", "t2").agg(F.min("id").alias("least"), *[F.first(c).alias(c) for c in ("fp", "size", "bits")])
-    texts = materialise(folded.select("t1", "t2", _number(F.col("t1"), F.col("t2")).alias("n"), "least", "fp", "size", "bits"))
-    known = texts.where("least is not null").select("n", "least", "fp", "size", "bits")
+    once = rows.groupBy("t1", "t2").agg(F.min("id").alias("least"), *[F.first(c).alias(c) for c in ("fp", "size", "bits", "wide")])
+    texts = materialise(once.select("t1", "t2", _number(F.col("t1"), F.col("t2")).alias("n"), "least", "fp", "size", "bits", "wide"))
+    known = texts.where("least is not null").select("n", "least", "fp", "size", "bits", "wide")
     parts = similar_components(known, docs, size, similarity, radius, hot_slot, id_col, text_col)
     member = texts.join(parts.withColumnRenamed("vertex", "n"), "n", "left").select("t1", "t2", "least", F.coalesce("component", "n").alias("root"))
     groups = member.groupBy("root").agg(F.min("least").alias("component_id"))
