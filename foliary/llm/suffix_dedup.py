@@ -44,6 +44,8 @@ LENGTH = 400
 HOT_CONTEXTS = 1024
 #: Bytes of contexts that share one transform.
 BLOCK_BYTES = 512 << 10
+#: Bytes of contexts that a task gets.
+TASK_BYTES = 2 << 20
 #: Mixed intervals up to this size are spread out symbol by symbol; larger ones use rank queries.
 SMALL = 64
 
@@ -282,7 +284,10 @@ def _by_suffixes(contexts: DataFrame, length: int) -> DataFrame:
             yield solve(held)
 
     cold = contexts.where(~F.col("hot")).select("anchor", "ctx", "content")
-    return cold.repartition("anchor").sortWithinPartitions("anchor", "ctx").mapInArrow(run, "anchor bigint, ctx bigint, start_from int, start_to int")
+    # Transforms cost far more than the bytes they read tell, so Spark is not left to merge partitions by their bytes.
+    size = cold.agg(F.sum(F.octet_length("content"))).first()[0] or 0
+    most = 4 * int(contexts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return cold.repartition(max(1, min(most, -(-size // TASK_BYTES))), "anchor").sortWithinPartitions("anchor", "ctx").mapInArrow(run, "anchor bigint, ctx bigint, start_from int, start_to int")
 
 
 def _once(group: pa.Table) -> pa.Table:
