@@ -16,8 +16,9 @@ from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 #: Text bytes handled at once inside a Python worker; bounds its memory.
 SLICE_BYTES = 2 << 20
@@ -152,7 +153,7 @@ def texts_of(batch: pa.RecordBatch, column: str) -> list[str]:
     return [x or "" for x in batch.column(column).to_pylist()]
 
 
-def map_texts(df: DataFrame, columns: Iterable[str], column: str, schema: str, work: Callable[[pa.RecordBatch], pa.RecordBatch]) -> DataFrame:
+def map_texts(df: DataFrame, columns: Iterable[str | Column], column: str, schema: str | StructType, work: Callable[[pa.RecordBatch], pa.RecordBatch]) -> DataFrame:
     """mapInArrow over the named columns, in slices of bounded size."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

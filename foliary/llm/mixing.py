@@ -198,6 +198,7 @@ def mix(
     tokens = word_count(F.col(text_col)) if tokens_col is None else F.coalesce(F.col(tokens_col), F.lit(0))
     drawn_by = F.xxhash64(F.lit(seed), F.col(id_col), F.when(F.col(id_col).isNull(), F.col(text_col)))
     rows = docs.select(F.col(id_col).alias("id"), named("source").alias("source"), named("lang").alias("lang"), topic.alias("topic"), tokens.cast("bigint").alias("tokens"), drawn_by.alias("by"))
+    rows = materialise(rows)  # texts are looked at once; what is kept of them is narrow
     sums = materialise(rows.groupBy(*AXES).agg(F.sum("tokens").alias("tokens")))
     n = sums.count()
     cells = (_fitted if n <= most_cells else _fitted_as_table)(sums, targets or {}, power, budget)

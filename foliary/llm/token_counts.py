@@ -11,6 +11,8 @@ from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from foliary.llm.bpe import BpeModel, WordCache, load
 from foliary.llm.common import hold, map_texts, texts_of
@@ -77,3 +79,16 @@ def token_counts(docs: DataFrame, path: str, limit: int = 1024, id_col: str = "d
 
     kind = docs.schema[id_col].dataType.simpleString()
     return map_texts(docs, [id_col, text_col], text_col, f"`{id_col}` {kind}, n_bytes bigint, n_tokens bigint, over_limit boolean", work)
+
+
+def with_token_counts(docs: DataFrame, path: str, text_col: str = "text", name: str = "n_tokens") -> DataFrame:
+    """``docs`` with a column of token counts, row by row; a column of that name is replaced."""
+    kept = docs.drop(name)
+    schema = T.StructType([*kept.schema.fields, T.StructField(name, T.LongType())])
+
+    def work(batch: pa.RecordBatch) -> pa.RecordBatch:
+        hold("token counts", release)
+        counts = counter(path)
+        return batch.append_column(name, pa.array([counts.count(t) for t in texts_of(batch, text_col)], pa.int64()))
+
+    return map_texts(kept, [F.col(f"`{c}`") for c in kept.columns], text_col, schema, work)

@@ -72,6 +72,12 @@ def test_mixing_samples(stages):
     before, after = stages[3], stages[4]
     assert after.join(before, after.columns, "left_anti").count() == 0
     assert 0.5 * before.count() < after.count() <= before.count()
+    import tokenizers
+
+    lib = tokenizers.Tokenizer.from_file(vocabulary("byte_bpe_50k.json"))
+    n = {i: len(lib.encode(t, add_special_tokens=False).ids) for i, t in texts(before).items()}
+    kept = sum(n[i] for i in texts(after))
+    assert abs(kept / sum(n.values()) - cp.TOKEN_BUDGET) < 0.15
 
 
 def test_token_ids(stages):
