@@ -18,6 +18,7 @@ from foliary.llm import mixing, near_copies, suffix_dedup, toxicity
 from foliary.llm.bpe import bpe_decode, bpe_encode
 from foliary.llm.common import fresh_dir, table
 from foliary.llm.queries import vocabulary
+from foliary.llm.token_counts import with_token_counts
 
 #: Parameters of the stages.
 TOXIC_FROM = 0.3
@@ -61,8 +62,10 @@ def suffix_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents are sampled by probabilities raked to tempered source, language and topic shares (operator 7)."""
-    chosen = mixing.mix(docs, TOKEN_BUDGET).where("kept").select("doc_id").distinct()
+    """Documents are sampled by probabilities raked to tempered source, language and topic shares of tokens (operators 7 and 6)."""
+    slim = docs.select("doc_id", "text", *[c for c in ("source", "lang", "topic") if c in docs.columns])
+    counted = with_token_counts(slim, vocabulary("byte_bpe_50k.json"))
+    chosen = mixing.mix(counted, TOKEN_BUDGET, tokens_col="n_tokens").where("kept").select("doc_id").distinct()
     return _chosen(docs, chosen)
 
 
