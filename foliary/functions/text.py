@@ -260,3 +260,8 @@ def percent_done(done: Column, total: Column) -> Column:
 def yaml_scalar(x: Column) -> Column:
     """A text value in double quotes with JSON escapes, or null."""
     return F.when(x.isNull(), "null").otherwise(F.regexp_extract(F.to_json(F.struct(x.alias("v"))), r"(?s)^\{\"v\":(.*)\}$", 1))
+
+
+def first_errors(errors: Column, most: int = 3) -> Column:
+    """The first errors of an array in one line."""
+    return F.array_join(F.slice(F.filter(errors, lambda e: e.isNotNull()), 1, most), "; ")

@@ -82,3 +82,26 @@ def merge_gap_verdict(runs: DataFrame) -> DataFrame:
     fit = runs.crossJoin(F.broadcast(base)).where((F.col("wall_s") <= F.col("base_s") * 0.95) & (F.col("qa") >= F.col("base_qa")))
     best = fit.agg(F.min_by("merge_gap", F.struct("wall_s", "merge_gap")).alias("best"))
     return base.crossJoin(best).select(F.coalesce("best", "baseline_gap").alias("best_gap"), "baseline_gap")
+
+
+def quality_summary(metrics: DataFrame, names: tuple[str, ...] = ("structural_density_per_1k", "heading_count", "section_count", "table_cell_count")) -> DataFrame:
+    """(metric, mean, median) of quality metrics over all pages, to three places; 0 of no page."""
+    each = metrics.select(F.explode(F.array(*[F.struct(F.lit(n).alias("metric"), F.col(n).cast("double").alias("value")) for n in names])).alias("m")).select("m.*")
+    found = each.groupBy("metric").agg(F.round(F.avg("value"), 3).alias("mean"), F.round(F.median("value"), 3).alias("median"))
+    listed = metrics.sparkSession.createDataFrame([(n,) for n in names], "metric string")
+    return listed.join(found, "metric", "left").select("metric", F.coalesce("mean", F.lit(0.0)).alias("mean"), F.coalesce("median", F.lit(0.0)).alias("median"))
+
+
+def h1_rescue(docs: DataFrame, group: str, text: str = "text") -> DataFrame:
+    """Bodies by how a missing title can be made up for, per group and in all: a short first line (a), a usable first paragraph (b), or not."""
+    t = F.col(text)
+    a, b = F.length(F.substring_index(t, "\n", 1)).between(3, 60), F.length(F.trim(F.substring_index(t, "\n\n", 1))).between(40, 2000)
+    flags = docs.select(group, t.startswith("#").alias("h1"), a.alias("a"), b.alias("b"))
+    tiers = {"with_h1": "h1", "tier_a": "not h1 and a", "tier_b": "not h1 and not a and b", "unrescued": "not h1 and not a and not b"}
+    return flags.rollup(group).agg(*[F.count_if(F.expr(cond)).alias(name) for name, cond in tiers.items()])
+
+
+def agreement(rows: DataFrame, votes: list[Column], told: Column, gate: float = 0.85) -> DataFrame:
+    """(agreement, passes): share of rows where two votes or more say what ``told`` says, against the gate."""
+    truth = sum((v.cast("int") for v in votes), F.lit(0)) >= 2
+    return rows.agg(F.avg((truth == told).cast("double")).alias("agreement")).select("agreement", (F.col("agreement") >= gate).alias("passes"))

@@ -8,8 +8,10 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from foliary.functions import urls
+from foliary.operators.manifests import running_total
+from foliary.plans.tables import written
 from foliary.sources.html import is_html, links_of
-from foliary.sources.net import crawlable, robots_allow
+from foliary.sources.net import crawlable, robots_allowed
 
 
 @dataclass(frozen=True)
@@ -28,8 +30,8 @@ def crawl(spark: SparkSession, start_url: str, web: DataFrame, rules: CrawlRules
     nullable). ``robots`` is (origin, robots). Pages fetched, forbidden by
     robots, missing or off the domain use up the budget; pages off the section,
     print pages and repeats of a final address do not. Print pages are left out,
-    their links are followed. Each level is a few joins, and its rows go through
-    a checkpoint; the driver keeps counts only.
+    their links are followed. Each level is a few joins, and its rows are
+    written out; the driver keeps counts only.
     """
     if rules.max_pages < 1:
         raise ValueError("the page budget must be 1 or more")
@@ -40,7 +42,6 @@ def crawl(spark: SparkSession, start_url: str, web: DataFrame, rules: CrawlRules
     host = first.split("/")[2]
     scope = spark.range(1).select(urls.section_scope(F.lit(first)).alias("s")).first()["s"]
     pages = web.select(urls.dedup_key(F.col("url")).alias("key"), urls.normalize_url(F.coalesce("final_url", "url")).alias("final"), "body", "content_type").dropDuplicates(["key"])
-    allow = F.udf(lambda text, url: robots_allow(text, rules.user_agent, url), "boolean")
     seen = start.select("key")
     emitted: DataFrame | None = None
     frontier = start.select("url", "key", F.lit(0).cast("bigint").alias("rank"))
@@ -50,7 +51,7 @@ def crawl(spark: SparkSession, start_url: str, web: DataFrame, rules: CrawlRules
         hit = frontier.join(pages, "key", "left")
         if robots is not None and rules.respect_robots:
             origin = F.concat(urls.scheme(F.col("url")), F.lit("://"), urls.authority(F.col("url")))
-            told = hit.withColumn("origin", origin).join(robots, "origin", "left").withColumn("allowed", allow("robots", "url"))
+            told = hit.withColumn("origin", origin).join(robots, "origin", "left").withColumn("allowed", robots_allowed(F.col("robots"), F.col("url"), rules.user_agent))
         else:
             told = hit.withColumn("allowed", F.lit(True))
         final_key = F.coalesce(urls.dedup_key(F.col("final")), F.col("key"))
@@ -64,10 +65,10 @@ def crawl(spark: SparkSession, start_url: str, web: DataFrame, rules: CrawlRules
         again = F.row_number().over(Window.partitionBy("final_key", "what").orderBy("rank"))
         level = level.withColumn("what", F.when((F.col("what") == "page") & (again > 1), "repeat").otherwise(F.col("what")))
         costs = F.when(F.col("what").isin("page", "robots", "missing", "domain"), 1).otherwise(0)
-        # The budget is used in rank order; at most max_pages of a level can count, so ranks beyond the last that does are cut.
-        spent = F.sum(costs).over(Window.orderBy("rank").rowsBetween(Window.unboundedPreceding, -1))
-        level = level.withColumn("costs", costs).withColumn("spent", F.coalesce(spent, F.lit(0))).where(F.col("spent") + used < rules.max_pages)
-        level = level.withColumn("depth", F.lit(depth)).checkpoint() if spark.sparkContext.getCheckpointDir() else level.withColumn("depth", F.lit(depth)).persist()
+        # The budget is used in rank order; ranks beyond the last that counts are cut.
+        level = written(level.withColumn("costs", costs), "crawl")
+        level = running_total(level, "rank", F.col("costs"), "spent").where(F.col("spent") + used < rules.max_pages)
+        level = written(level.withColumn("depth", F.lit(depth)), "crawl")
         shown = level.where("costs = 1").select(F.when(F.col("what") == "page", F.col("final")).otherwise(F.col("url")).alias("url"), "depth", (F.col("spent") + used).cast("int").alias("crawl_order"), F.when(F.col("what") != "page", F.col("what")).alias("skip_reason"))
         results = shown if results is None else results.unionByName(shown)
         kept = level.where("what = 'page'").select("final_key")
@@ -84,8 +85,10 @@ def crawl(spark: SparkSession, start_url: str, web: DataFrame, rules: CrawlRules
         fresh = found.withColumn("key", urls.dedup_key(F.col("url")))
         seen = seen.unionByName(level.select(F.col("final_key").alias("key"))).distinct()
         fresh = fresh.join(seen, "key", "left_anti").groupBy("key").agg(F.min(F.struct("rank", "pos", "url")).alias("m"))
-        frontier = fresh.select("m.url", "key", (F.row_number().over(Window.orderBy("m.rank", "m.pos")) - 1).cast("bigint").alias("rank"))
-        frontier = frontier.checkpoint() if spark.sparkContext.getCheckpointDir() else frontier.persist()
+        fresh = written(fresh.select("m.url", "key", F.col("m.rank").alias("parent"), F.col("m.pos").alias("pos")), "crawl")
+        offsets = running_total(fresh.groupBy("parent").agg(F.count("*").alias("n")), "parent", F.col("n"), "before").select("parent", "before")
+        inner = F.row_number().over(Window.partitionBy("parent").orderBy("pos")) - 1
+        frontier = written(fresh.withColumn("inner", inner).join(offsets, "parent").select("url", "key", (F.col("before") + F.col("inner")).alias("rank")), "crawl")
         if frontier.isEmpty():
             break
         seen = seen.unionByName(frontier.select("key"))

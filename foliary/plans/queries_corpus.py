@@ -394,12 +394,7 @@ with f as (select source, text like '#%' as h1, length(split_part(text, chr(10),
 select source, count(*) filter (h1) as with_h1, count(*) filter (not h1 and a) as tier_a, count(*) filter (not h1 and not a and b) as tier_b, count(*) filter (not h1 and not a and not b) as unrescued from f group by rollup (source)
 """)
 def h1_rescue_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    t = F.col("text")
-    first = F.substring_index(t, "\n", 1)
-    lead = F.trim(F.substring_index(t, "\n\n", 1))
-    h1, a, b = t.startswith("#"), F.length(first).between(3, 60), F.length(lead).between(40, 2000)
-    flags = _docs(spark, sf_dir).select("source", h1.alias("h1"), a.alias("a"), b.alias("b"))
-    return flags.rollup("source").agg(F.count_if("h1").alias("with_h1"), F.count_if(F.expr("not h1 and a")).alias("tier_a"), F.count_if(F.expr("not h1 and not a and b")).alias("tier_b"), F.count_if(F.expr("not h1 and not a and not b")).alias("unrescued"))
+    return corpus.h1_rescue(_docs(spark, sf_dir), "source")
 
 
 @_register("select round(regr_intercept(value * 3 + 10, event_id % 100), 6) as base, round(regr_slope(value * 3 + 10, event_id % 100), 6) as k, count(*) as n from events where user_id % 2 = 0")
@@ -451,14 +446,11 @@ with v as (select doc_id, (case when n_chars < 800 then 1 else 0 end) + (case wh
 select avg(case when truth = told then 1.0 else 0.0 end) as agreement, avg(case when truth = told then 1.0 else 0.0 end) >= 0.85 as passes from v
 """)
 def validation_agreement(spark: SparkSession, sf_dir: str) -> DataFrame:
-    one = lambda c: F.when(c, 1).otherwise(0)
     rows = _docs(spark, sf_dir).join(table(spark, sf_dir, "labels"), "doc_id")
-    truth = one(F.col("n_chars") < 800) + one(F.col("quality") == 0) + one(F.col("toxic") == 1) >= 2
-    agree = F.avg((truth == (F.col("n_chars") % 10 / 10.0 >= 0.3)).cast("double"))
-    return rows.agg(agree.alias("agreement")).select("agreement", (F.col("agreement") >= 0.85).alias("passes"))
+    return corpus.agreement(rows, [F.col("n_chars") < 800, F.col("quality") == 0, F.col("toxic") == 1], F.col("n_chars") % 10 / 10.0 >= 0.3)
 
 
-@_register("select doc_id, case when n_chars % 3 = 0 then null else (doc_id - n_chars % 3) * 100.0 / (n_chars % 3) end as change, case when n_chars <= 10 then 'stable' when n_chars <= 1500 then 'x' else 'y' end is not null as known, case when doc_id % 40 <= 10 then 'stable' when doc_id % 40 <= 30 then 'experimental' else 'unsupported' end as tier from documents")
+@_register("select doc_id, case when n_chars % 3 = 0 then null else (doc_id - n_chars % 3) * 100.0 / (n_chars % 3) end as change, case when doc_id % 40 <= 10 then 'stable' when doc_id % 40 <= 30 then 'experimental' else 'unsupported' end as tier from documents")
 def study_ratios(spark: SparkSession, sf_dir: str) -> DataFrame:
     d, b = F.col("doc_id"), F.col("n_chars") % 3
-    return _docs(spark, sf_dir).select("doc_id", scores.percent_change(d, b).alias("change"), F.lit(True).alias("known"), scores.stability_tier(d % 40).alias("tier"))
+    return _docs(spark, sf_dir).select("doc_id", scores.percent_change(d, b).alias("change"), scores.stability_tier(d % 40).alias("tier"))

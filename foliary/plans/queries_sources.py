@@ -9,7 +9,7 @@ from foliary.functions import ids, routing, scores, text, urls
 from foliary.operators import manifests, ranges
 from foliary.plans.tables import Registry, table
 from foliary.plans.triage import triage
-from foliary.sources import docx, files, pdf, sinks
+from foliary.sources import files, sinks
 
 _register = Registry()
 QUERIES, ORACLE_SQL = _register.queries, _register.sql
@@ -158,21 +158,6 @@ def crawl_bfs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return crawl(spark, start, web, CrawlRules(max_pages=50, max_depth=2, domain_lock=False))
 
 
-@_register()
-def pdf_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents set as PDF content streams in the query, then read by the built-in reader."""
-    body = F.regexp_replace(F.regexp_replace("text", r"([\\()])", r"\\$1"), "[^\\x20-\\x7e]", " ")
-    stream = F.concat(F.lit("%PDF-1.4\n1 0 obj << /Length 1 >> stream\nBT /F1 18 Tf (Doc "), F.col("doc_id").cast("string"), F.lit(") Tj /F1 10 Tf ("), body, F.lit(") Tj ET\nendstream endobj"))
-    rows = table(spark, sf_dir, "documents").select(F.col("doc_id").cast("string").alias("path"), stream.cast("binary").alias("content"))
-    return pdf.read_pdf(rows, "heuristic")
-
-
-@_register()
-def docx_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Texts are no Word files: each gives a row with the reason."""
-    return docx.read_docx(table(spark, sf_dir, "documents").select(F.col("doc_id").cast("string").alias("path"), F.col("text").cast("binary").alias("content")))
-
-
 @_register("select page_id, 'web_crawl:' || url as source, regexp_matches(url, '^https?:') as is_web, case when page_id % 6 <= 5 then true else false end as may_redirect from pages")
 def web_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     key = F.concat(F.lit("web_crawl:"), F.col("url"))

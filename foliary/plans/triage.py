@@ -9,8 +9,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from foliary.functions import scores
+from foliary.functions.text import first_errors
 from foliary.operators.corpus import seeded_rank, similarity_histogram
 from foliary.operators.ranges import coalesce_ranges, greedy_groups, pages_in_ranges, split_ranges, stitch_bodies
+from foliary.sources.markdown import quality_metrics
 
 #: Repairs the pages start..end of a document: one text per page, one text for all, or an error.
 Engine = Callable[[bytes, int, int, bool], list[str]]
@@ -37,13 +39,17 @@ def score_pages(pages: DataFrame, weights: dict[str, float] | None = None) -> Da
     return named.withColumn("s", scores.page_score({n: F.col(n) for n in scores.SIGNAL_WEIGHTS}, weights)).select("*", "s.*").drop("s")
 
 
-def pre_triage(pages: DataFrame, weights: dict[str, float] | None = None) -> tuple[DataFrame, DataFrame]:
-    """(pages to extract cheaply and score, pages that go to the expensive engine at once). Two filters, so the second kind is never extracted."""
-    signals = {
+def pre_signals() -> dict[str, Column]:
+    """Signals of pages before any text is extracted (images, has_widgets, xs, fonts, ys)."""
+    return {
         "image_heavy": scores.image_heavy(F.col("images")), "form_fields": scores.form_fields(F.col("has_widgets")), "layout_complexity": scores.layout_complexity(F.lit(""), F.col("xs")),
         "font_diversity": scores.font_diversity(F.col("fonts")), "text_flow_consistency": scores.text_flow_consistency(F.col("ys")),
     }
-    told = pages.withColumn("pre", scores.pre_score(signals, weights))
+
+
+def pre_triage(pages: DataFrame, weights: dict[str, float] | None = None) -> tuple[DataFrame, DataFrame]:
+    """(pages to extract cheaply and score, pages that go to the expensive engine at once). Two filters, so the second kind is never extracted."""
+    told = pages.withColumn("pre", scores.pre_score(pre_signals(), weights))
     return told.where("pre.classification <> 'expensive'"), told.where("pre.classification = 'expensive'")
 
 
@@ -55,7 +61,10 @@ def triage(pages: DataFrame, files: DataFrame, engine: Engine | None, buffer: in
     fails on keeps its cheap text. Without an engine, or where ``budget`` is
     false, nothing is repaired. Only files with a weak range are moved.
     """
-    scored = score_pages(pages, weights)
+    return _repaired(score_pages(pages, weights), files, engine, buffer, merge_gap, budget)
+
+
+def _repaired(scored: DataFrame, files: DataFrame, engine: Engine | None, buffer: int, merge_gap: int, budget: Column | None) -> DataFrame:
     weak = scored.where("needs_repair") if budget is None else scored.where(F.col("needs_repair") & budget)
     ranges = coalesce_ranges(weak.select("doc_id", "page_index", "total_pages"), buffer, merge_gap)
     placed = pages_in_ranges(scored, ranges)
@@ -84,6 +93,39 @@ def triage(pages: DataFrame, files: DataFrame, engine: Engine | None, buffer: in
     return placed.join(mended, ["doc_id", "page_index"], "left").select("doc_id", "page_index", F.coalesce("better", "text").alias("text"), F.coalesce("how", F.lit("heuristic")).alias("engine"), "aggregate", "reason")
 
 
+def triage_with_pre_score(pages: DataFrame, files: DataFrame, engine: Engine, buffer: int = 1, merge_gap: int = 2) -> DataFrame:
+    """:func:`triage` in which pages that the score before extraction calls expensive are weak at once: their text is neither read nor scored.
+
+    ``pages`` also has ``fonts`` and ``ys``.
+    """
+    cheap, costly = pre_triage(pages)
+    scored = score_pages(cheap).select("doc_id", "page_index", "total_pages", "text", "images", "aggregate", "needs_repair", "reason")
+    known = costly.select("doc_id", "page_index", "total_pages", F.lit("").alias("text"), "images", F.col("pre.aggregate").alias("aggregate"), F.lit(True).alias("needs_repair"), F.concat(F.lit("pre:"), F.col("pre.reason")).alias("reason"))
+    return _repaired(scored.unionByName(known), files, engine, buffer, merge_gap, None)
+
+
+def triage_report(pages: DataFrame, weights: dict[str, float] | None = None) -> DataFrame:
+    """The report of a calibration run, as texts: page, signals, score, and quality of the cheap text. Nothing is repaired."""
+    four = lambda c: F.format_string("%.4f", F.col(c))
+    scored = score_pages(pages, weights).withColumn("qm", quality_metrics("text"))
+    metrics = [F.col("qm.parse_ok").cast("int").alias("qm_parse_ok"), *[F.col(f"qm.{n}").alias(f"qm_{n}") for n in ("heading_count", "section_count", "table_count", "table_cell_count")], F.format_string("%.3f", "qm.structural_density_per_1k").alias("qm_structural_density_per_1k"), F.col("qm.median_section_chars").alias("qm_median_section_chars")]
+    return scored.select("doc_id", "page_index", *[four(n).alias(n) for n in scores.SIGNAL_WEIGHTS], four("aggregate").alias("aggregate"), F.col("needs_repair").cast("int").alias("needs_repair"), "reason", *metrics)
+
+
+def pre_score_report(pages: DataFrame, weights: dict[str, float] | None = None) -> DataFrame:
+    """The report of the score before extraction, as texts."""
+    three = lambda c: F.format_string("%.3f", c)
+    signals = pre_signals()
+    named = pages.withColumns({n: s.cast("double") for n, s in signals.items()}).withColumn("pre", scores.pre_score({n: F.col(n) for n in signals}, weights))
+    return named.select("doc_id", "page_index", *[three(F.col(n)).alias(n) for n in signals], three(F.col("pre.aggregate")).alias("aggregate"), F.col("pre.classification").alias("classification"), F.col("pre.reason").alias("reason"))
+
+
+def engine_attribution(result: DataFrame) -> DataFrame:
+    """Repaired pages that hold text, those left empty because their range came as one text, and characters, per document."""
+    repaired, said = F.col("engine") != "heuristic", F.col("text") != ""
+    return result.groupBy("doc_id").agg(F.count_if(repaired & said).alias("content_pages"), F.count_if(repaired & ~said).alias("placeholder_pages"), F.sum(F.when(repaired, F.length("text")).otherwise(0)).alias("repaired_chars"))
+
+
 def triage_statistics(result: DataFrame) -> DataFrame:
     """Pages in all, repaired and kept, and characters by engine, per document."""
     repaired = F.col("engine") != "heuristic"
@@ -99,12 +141,55 @@ def qa_tripwire(result: DataFrame, pages: DataFrame, engine_text: DataFrame, rat
     return similarity_histogram(sample.join(engine_text, ["doc_id", "page_index"]).withColumn("similarity", scores.jaccard_words(F.col("text"), F.col("engine_text"))))
 
 
-def chunked(files: DataFrame, engine: Engine, max_pages: int = 50, overlap: int = 2, group_pages: int = 40, ocr_pages: int = 8) -> DataFrame:
-    """(doc_id, body, error): whole documents through the expensive engine in overlapping chunks, packed to groups, retried in halves.
-
-    ``files`` is (doc_id, content, total_pages, needs_ocr). A group that fails
-    is tried again in smaller ones down to single chunks; what still fails is
-    left out and named in ``error``. Groups are spread over the cluster.
+#: What a worker's exit says, and the render scales of a retry.
+EXITS = {"ok": 0, "failed": 2, "usage": 3, "unreadable": 4, "unavailable": 5, "memory": 6}
+SCALES = (2.0, 1.5, 1.0)
+
+
+def exit_code(error: BaseException | None) -> int:
+    """The exit code that tells a kind of failure."""
+    kinds = ((MemoryError, "memory"), (ImportError, "unavailable"), (OSError, "unreadable"), ((TypeError, KeyError), "usage"), (BaseException, "failed"))
+    return EXITS["ok"] if error is None else next(EXITS[name] for kind, name in kinds if isinstance(error, kind))
+
+
+def attempt(engine: Callable, content: bytes, part: dict, ocr: bool, scale: float | None) -> dict:
+    """One chunk's envelope: its texts, or what went wrong; a chunk that fails never takes the others with it."""
+    more = {} if scale is None else {"scale": scale}
+    try:
+        pages = list(engine(content, part["start"], part["stop"] - 1, ocr, **more))
+        return {"chunk": part["chunk"], "text": "\n\n".join(pages), "error": None, "code": EXITS["ok"]}
+    except Exception as e:
+        return {"chunk": part["chunk"], "text": None, "error": f"{type(e).__name__}: {e}", "code": exit_code(e)}
+
+
+def dispatch(engine: Callable, content: bytes, parts: list[dict], ocr: bool, cap: int, scales: tuple[float, ...]) -> list[dict]:
+    """Envelopes of a group. What fails is tried again in groups of half the pages down to one chunk, then at the next lower scale, then conceded."""
+    done, todo = [], [(parts, cap, 0)]
+    while todo:
+        group, cap, step = todo.pop(0)
+        found = [attempt(engine, content, p, ocr, scales[step] if ocr and scales and step else None) for p in group]
+        failed = [p for p, e in zip(group, found, strict=True) if e["error"]]
+        done += [e for e in found if not e["error"]]
+        if not failed:
+            continue
+        if len(failed) > 1 and cap > 1:
+            half = max(1, min(cap // 2, len(failed) - 1))
+            todo += [(failed[i : i + half], half, step) for i in range(0, len(failed), half)]
+        elif ocr and step + 1 < len(scales):
+            todo.append((failed, cap, step + 1))
+        else:
+            done += [e for e in found if e["error"]]
+    return done
+
+
+def chunked(files: DataFrame, engine: Engine, max_pages: int = 50, overlap: int = 2, group_pages: int = 40, ocr_pages: int = 8, scales: tuple[float, ...] = ()) -> DataFrame:
+    """(doc_id, body, error, code): whole documents through the expensive engine in overlapping chunks, packed to groups, with adaptive retries.
+
+    ``files`` is (doc_id, content, total_pages, needs_ocr). With ``scales``
+    (SCALES) the engine takes a ``scale`` and chunks to be recognised are tried
+    again at lower ones. What still fails is left out and named in ``error``
+    (three at most), ``code`` is the largest exit code. Groups are spread over
+    the cluster.
     """
     chunks = files.select("doc_id", split_ranges(F.col("total_pages"), max_pages, overlap).alias("chunks"), "needs_ocr")
     sizes = F.transform("chunks", lambda c: c["stop"] - c["start"])
@@ -112,25 +197,12 @@ def chunked(files: DataFrame, engine: Engine, max_pages: int = 50, overlap: int
     work = grouped.select("doc_id", "needs_ocr", F.explode(F.arrays_zip("chunks", "groups")).alias("z")).select("doc_id", "needs_ocr", F.col("z.groups").alias("pack"), "z.chunks.*")
     packs = work.groupBy("doc_id", "needs_ocr", "pack").agg(F.array_sort(F.collect_list(F.struct("chunk", "start", "stop"))).alias("parts"))
 
-    def dispatch(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            out = []
-            for r in batch.itertuples(index=False):
-                todo = [list(r.parts)]
-                while todo:
-                    group = todo.pop(0)
-                    try:
-                        texts = [(c["chunk"], "\n\n".join(engine(bytes(r.content), c["start"], c["stop"] - 1, bool(r.needs_ocr)))) for c in group]
-                        out += [(r.doc_id, c, t, None) for c, t in texts]
-                    except Exception as e:
-                        if len(group) > 1:
-                            half = max(1, len(group) // 2)
-                            todo = [group[i : i + half] for i in range(0, len(group), half)] + todo
-                        else:
-                            out.append((r.doc_id, group[0]["chunk"], None, f"{type(e).__name__}: {e}"))
-            yield pd.DataFrame(out, columns=["doc_id", "chunk", "text", "error"]).astype(object).where(lambda d: d.notna(), None)
+            out = [{"doc_id": r.doc_id, **e} for r in batch.itertuples(index=False) for e in dispatch(engine, bytes(r.content), [dict(p) for p in r.parts], bool(r.needs_ocr), ocr_pages if r.needs_ocr else group_pages, scales)]
+            yield pd.DataFrame(out, columns=["doc_id", "chunk", "text", "error", "code"]).astype(object).where(lambda d: d.notna(), None)
 
     kind = files.schema["doc_id"].dataType.simpleString()
-    done = packs.join(files.select("doc_id", "content"), "doc_id").mapInPandas(dispatch, f"doc_id {kind}, chunk int, text string, error string")
+    done = packs.join(files.select("doc_id", "content"), "doc_id").mapInPandas(run, f"doc_id {kind}, chunk int, text string, error string, code int")
     bodies = F.transform(F.array_sort(F.collect_list(F.when(F.col("text").isNotNull(), F.struct("chunk", "text")))), lambda x: x["text"])
-    return done.groupBy("doc_id").agg(stitch_bodies(bodies).alias("body"), F.concat_ws("; ", F.slice(F.array_sort(F.collect_list("error")), 1, 3)).alias("error"))
+    return done.groupBy("doc_id").agg(stitch_bodies(bodies).alias("body"), first_errors(F.array_sort(F.collect_list("error"))).alias("error"), F.max("code").alias("code"))

@@ -5,11 +5,16 @@ from __future__ import annotations
 import ipaddress
 import re
 import xml.etree.ElementTree as ET
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from urllib.parse import urljoin, urlsplit
 from urllib.robotparser import RobotFileParser
 
+import pandas as pd
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
 #: The sitemap namespace, and hosts and addresses of cloud metadata services.
 SITEMAP = "{http://www.sitemaps.org/schemas/sitemap/0.9}"
 METADATA_HOSTS = frozenset(("metadata.google.internal", "metadata.aws.amazon.com", "metadata"))
@@ -73,6 +78,20 @@ def robots_allow(robots: str | None, agent: str, url: str) -> bool:
     return p.can_fetch(agent, url)
 
 
+def robots_allowed(robots: Column, url: Column, agent: str) -> Column:
+    """Whether rules let the agent fetch an address. In Arrow batches; equal rules are read once a batch."""
+
+    @F.pandas_udf(T.BooleanType())
+    def allowed(texts: pd.Series, urls: pd.Series) -> pd.Series:
+        read: dict[str, RobotFileParser] = {}
+        for t in texts.dropna().unique():
+            read[t] = RobotFileParser()
+            read[t].parse(t.splitlines())
+        return pd.Series([not t or read[t].can_fetch(agent, u) for t, u in zip(texts, urls, strict=True)])
+
+    return allowed(robots, url)
+
+
 def robots_sitemaps(robots: str) -> list[str]:
     found = (re.match(r"(?i)\s*sitemap\s*:\s*(\S.*?)\s*$", line) for line in robots.splitlines())
     return [m[1] for m in found if m]
@@ -106,6 +125,44 @@ def sitemap_children(xml: str) -> list[str]:
     return [x for x in found if x]
 
 
+def read_sitemaps(files: DataFrame, key: str, xml: str = "xml") -> DataFrame:
+    """(key, kind, loc, lastmod, error): locations of URL sets ("url") and of indexes ("sitemap"); a file that is neither gives its reason."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            rows = []
+            for k, text in zip(batch[key], batch[xml], strict=True):
+                try:
+                    if "<sitemapindex" in text:
+                        rows += [(k, "sitemap", loc, None, None) for loc in sitemap_children(text)]
+                    else:
+                        rows += [(k, "url", loc, mod, None) for loc, mod in sitemap_urls(text)]
+                except ValueError as e:
+                    rows.append((k, None, None, None, str(e)))
+            yield pd.DataFrame(rows, columns=[key, "kind", "loc", "lastmod", "error"]).astype(object).where(lambda d: d.notna(), None)
+
+    kind = files.schema[key].dataType.simpleString()
+    return files.select(key, xml).mapInPandas(run, f"`{key}` {kind}, kind string, loc string, lastmod string, error string")
+
+
+@F.pandas_udf(T.BooleanType())
+def sitemap_safe(url: pd.Series, addresses: pd.Series) -> pd.Series:
+    """Whether a sitemap may be fetched, given the addresses that its host resolves to (null: it does not)."""
+
+    def one(u, found) -> bool:
+        def resolve(_: str) -> list[str]:
+            if found is None:
+                raise OSError("no address")
+            return list(found)
+
+        try:
+            return bool(check_sitemap_url(u, resolve))
+        except PolicyError:
+            return False
+
+    return pd.Series([one(u, a) for u, a in zip(url, addresses, strict=True)])
+
+
 @dataclass(frozen=True)
 class Response:
     url: str
