@@ -281,9 +281,9 @@ class OffsetTable:
 class WordCache(dict):
     """Results of pre-tokens met before, in two generations: when the newer is full it becomes the older, so frequent words stay."""
 
-    def __init__(self, compute: Callable[[str], object]):
+    def __init__(self, compute: Callable[[str], object], most: int = CACHE_WORDS):
         super().__init__()
-        self.compute = compute
+        self.compute, self.most = compute, most
         self.older: dict[str, object] = {}
 
     def __missing__(self, word: str) -> object:
@@ -292,7 +292,7 @@ class WordCache(dict):
             out = self.compute(word)
             if len(word) > 64:
                 return out
-        if len(self) >= CACHE_WORDS:
+        if len(self) >= self.most:
             self.older = dict(self)
             self.clear()
         self[word] = out

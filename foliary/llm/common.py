@@ -10,6 +10,7 @@ from __future__ import annotations
 import contextlib
 import ctypes
 import gc
+import sys
 import tempfile
 import uuid
 from collections.abc import Callable, Iterable, Iterator
@@ -127,6 +128,8 @@ def _return_large_blocks() -> None:
         c.mallopt(-8, 1)  # M_ARENA_MAX
 
 
+if "pyspark.worker" in sys.modules:  # in workers, never in the driver
+    _return_large_blocks()
 _holder: tuple[str, Callable[[], None]] | None = None
 
 
@@ -139,9 +142,7 @@ def hold(name: str, release: Callable[[], None] = lambda: None) -> None:
     global _holder
     if _holder is not None and _holder[0] == name:
         return
-    if _holder is None:
-        _return_large_blocks()
-    else:
+    if _holder is not None:
         _holder[1]()
         gc.collect()
         with contextlib.suppress(OSError, AttributeError):  # other C libraries have no such call

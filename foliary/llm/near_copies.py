@@ -162,6 +162,7 @@ def _sets(docs: DataFrame, asked: DataFrame, size: int, id_col: str, text_col: s
     bitmap = docs.sparkSession.sparkContext.broadcast(marks(asked.select(F.xxhash64("n", "least").alias("mark")), "mark"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hold("near copies")
         for batch in batches:
             for piece in text_slices(batch, "raw"):
                 piece = piece.filter(pa.array(marked(bitmap.value, piece.column("mark").to_numpy())))
@@ -176,6 +177,7 @@ def _ranked(docs: DataFrame, size: int, id_col: str, text_col: str) -> tuple[np.
     """Frequent shingles of a sample, sorted, and their ranks from the rarest on."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hold("near copies")
         for batch in batches:
             for piece in text_slices(batch, "raw"):
                 for t in texts_of(piece, "raw"):
@@ -194,6 +196,7 @@ def _shared(known: DataFrame, docs: DataFrame, size: int, similarity: float, id_
     ranked = docs.sparkSession.sparkContext.broadcast(_ranked(docs, size, id_col, text_col))
 
     def keys(batch: pa.RecordBatch) -> pa.RecordBatch:
+        hold("near copies")
         found, sizes = [], []
         for t in texts_of(batch, "raw"):
             h = np.unique(hashes(t, size))
@@ -205,6 +208,7 @@ def _shared(known: DataFrame, docs: DataFrame, size: int, similarity: float, id_
         return pa.RecordBatch.from_arrays([batch.column("n"), batch.column("least"), pa.array(sizes, pa.int64()), lists], ["n", "least", "size", "keys"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hold("near copies")
         held: list[np.ndarray] = []
         for batch in batches:
             if not batch.num_rows:
@@ -263,6 +267,7 @@ def _bounded(pairs: DataFrame, drawn: DataFrame, similarity: float) -> DataFrame
     """The pairs that sizes and bitmaps do not exclude; ``drawn`` is (n, size, bits, wide)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hold("near copies")
         for batch in batches:
             if not batch.num_rows:
                 continue
@@ -292,6 +297,7 @@ def _verified(pairs: DataFrame, known: DataFrame, docs: DataFrame, similarity: f
     both = pairs.join(shingles.select(F.col("n").alias("a"), F.col("shingles").alias("x")), "a").join(shingles.select(F.col("n").alias("b"), F.col("shingles").alias("y")), "b")
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hold("near copies")
         for batch in batches:
             keep = np.zeros(batch.num_rows, bool)
             for i, (x, y) in enumerate(zip(batch.column("x"), batch.column("y"), strict=True)):
@@ -319,6 +325,7 @@ def _unconnected(crowd: DataFrame, parts: DataFrame, similarity: float, block: i
     by = ["key", "i", "j"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hold("near copies")
         for group in sorted_groups(batches, by):
             i, j = group["i"][0].as_py(), group["j"][0].as_py()
             x = y = group
@@ -335,6 +342,7 @@ def _first_pairs(crowd: DataFrame) -> DataFrame:
     """(a, b) under keys with many texts: those that are tried first."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hold("near copies")
         for group in sorted_groups(batches, ["key"]):
             fp, n = group["fp"].to_numpy().view(np.uint64), group["n"].to_numpy()
             order = np.argsort(gray_rank(fp), kind="stable")

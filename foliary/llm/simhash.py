@@ -195,6 +195,7 @@ def link_edges(fps: DataFrame, radius: int = 2, hot_key: int = HOT_KEY) -> DataF
         plain = plain.unionByName(part)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hold("simhash")
         for group in sorted_groups(batches, by):
             values, root = linked(group["fp"].to_numpy().view(np.uint64), radius)
             other = values != root

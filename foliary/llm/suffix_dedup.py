@@ -247,6 +247,7 @@ def _contexts(keyed: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
     per_text = wanted.groupBy("key", "t1", "t2").agg(F.collect_list(F.struct("anchor", "ctx", "pos", "lo", "hi", "hot")).alias("wanted"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hold("suffixes")
         for batch in batches:
             for piece in text_slices(batch, "raw"):
                 out = [[], [], [], [], []]
@@ -265,13 +266,13 @@ def _by_suffixes(contexts: DataFrame, length: int) -> DataFrame:
     """(anchor, ctx, start_from, start_to) of repeated windows, from transforms over whole anchor groups."""
 
     def solve(held: list[pa.Table]) -> pa.RecordBatch:
-        hold("suffixes")
         t = pa.concat_tables(held)
         found = repeated_starts([bytes(x) for x in t.column("content").to_pylist()], length)
         rows = [(a, c, x, y) for a, c, s in zip(t.column("anchor").to_pylist(), t.column("ctx").to_pylist(), found, strict=True) for x, y in runs(s)]
         return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], k) for i, k in enumerate([pa.int64(), pa.int64(), pa.int32(), pa.int32()])], ["anchor", "ctx", "start_from", "start_to"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hold("suffixes")
         held, size = [], 0
         for group in sorted_groups(batches, ["anchor"]):
             group = _once(group)
@@ -300,6 +301,7 @@ def _by_windows(contexts: DataFrame, length: int) -> DataFrame:
     """The same ranges for hot anchors: each window counted by (anchor, offset, hash of its bytes)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hold("suffixes")
         for batch in batches:
             for piece in text_slices(batch, "content"):
                 cols = [[], [], [], [], [], []]
@@ -363,6 +365,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id"
     joined = _keyed(docs, id_col, text_col).join(ranges, ["key", "t1", "t2"], "left")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hold("suffixes")
         for batch in batches:
             for piece in text_slices(batch, "raw"):
                 raws = [x.encode("utf-8") for x in piece.column("raw").to_pylist()]

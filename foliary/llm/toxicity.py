@@ -30,6 +30,8 @@ MOST_ROWS = 12_000
 FOLDS = 5
 #: Share of a score that is the trees' own probability.
 ORDER_SHARE = 0.01
+#: Words whose codes a worker keeps, twice over.
+MOST_WORDS = 30_000
 #: Toxic documents that must hold a stem.
 LEAST_HOLDERS = 4
 #: The bound on learned stems.
@@ -112,7 +114,7 @@ class Model:
     def features(self, text: str) -> np.ndarray:
         codes = self.__dict__.get("_codes")
         if codes is None:
-            codes = self.__dict__["_codes"] = WordCache(self.code)
+            codes = self.__dict__["_codes"] = WordCache(self.code, MOST_WORDS)
             self.weights = np.zeros(len(self.stems) + 1)
             for number, weight in self.stems.values():
                 self.weights[number] = weight
