@@ -41,14 +41,17 @@ def crawl(spark: SparkSession, start_url: str, web: DataFrame, rules: CrawlRules
     first = start.first()["url"]
     host = first.split("/")[2]
     scope = spark.range(1).select(urls.section_scope(F.lit(first)).alias("s")).first()["s"]
-    pages = web.select(urls.dedup_key(F.col("url")).alias("key"), urls.normalize_url(F.coalesce("final_url", "url")).alias("final"), "body", "content_type").dropDuplicates(["key"])
+    # Keys of all addresses are made once; bodies are fetched by address for each level's hits only.
+    keyed = web.select(urls.dedup_key(F.col("url")).alias("key"), F.col("url").alias("page_url"), urls.normalize_url(F.coalesce("final_url", "url")).alias("final"))
+    keys = written(keyed.groupBy("key").agg(F.min(F.struct("page_url", "final")).alias("p")).select("key", "p.*"), "crawl")
+    bodies = web.select(F.col("url").alias("page_url"), "body", "content_type").dropDuplicates(["page_url"])
     seen = start.select("key")
     emitted: DataFrame | None = None
     frontier = start.select("url", "key", F.lit(0).cast("bigint").alias("rank"))
     results: DataFrame | None = None
     used = 0
     for depth in range(rules.max_depth + 1):
-        hit = frontier.join(pages, "key", "left")
+        hit = written(frontier.join(keys, "key", "left").join(bodies, "page_url", "left"), "crawl")
         if robots is not None and rules.respect_robots:
             origin = F.concat(urls.scheme(F.col("url")), F.lit("://"), urls.authority(F.col("url")))
             told = hit.withColumn("origin", origin).join(robots, "origin", "left").withColumn("allowed", robots_allowed(F.col("robots"), F.col("url"), rules.user_agent))
@@ -83,7 +86,7 @@ def crawl(spark: SparkSession, start_url: str, web: DataFrame, rules: CrawlRules
             if scope is not None:
                 found = found.where(urls.within_scope(F.col("url"), F.lit(scope)))
         fresh = found.withColumn("key", urls.dedup_key(F.col("url")))
-        seen = seen.unionByName(level.select(F.col("final_key").alias("key"))).distinct()
+        seen = written(seen.unionByName(level.select(F.col("final_key").alias("key"))).distinct(), "crawl")
         fresh = fresh.join(seen, "key", "left_anti").groupBy("key").agg(F.min(F.struct("rank", "pos", "url")).alias("m"))
         fresh = written(fresh.select("m.url", "key", F.col("m.rank").alias("parent"), F.col("m.pos").alias("pos")), "crawl")
         offsets = running_total(fresh.groupBy("parent").agg(F.count("*").alias("n")), "parent", F.col("n"), "before").select("parent", "before")

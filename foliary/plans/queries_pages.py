@@ -129,17 +129,32 @@ def html_title(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "pages").select("page_id", F.nullif(F.regexp_extract(h, "<title>([^<]*)</title>", 1), F.lit("")).alias("title"), is_html(F.lit(None).cast("string"), h).alias("is_html"))
 
 
-@_register()
+# Pages as the table has them: a note and an advertisement before an article of a heading and text whose paragraphs stay open.
+_WS = "chr(32) || chr(9) || chr(10) || chr(13)"
+_PLAIN = "replace(replace(replace(replace(replace({}, '&lt;', '<'), '&gt;', '>'), '&quot;', '\"'), '&#x27;', chr(39)), '&amp;', '&')"
+_STRINGS = "array_to_string(list_filter(list_transform(regexp_split_to_array(regexp_extract(html, '(?s){}', 1), '<[^>]*>'), lambda s: trim(" + _PLAIN.format("s") + f", {_WS})), lambda s: s <> ''), ' ')"
+_MARKDOWN = f"""
+with parts as (select page_id, url, {_PLAIN.format("trim(regexp_extract(html, '(?s)<!-- (.*?) -->', 1))")} as note, {_STRINGS.format('<div class="ad">(.*?)</div>')} as ad, {_STRINGS.format("<h1>(.*?)</h1>")} as h1, {_STRINGS.format("</h1>(.*)</article>")} as said from pages),
+shown as (select *, concat_ws(chr(10) || chr(10), nullif(note, ''), nullif(ad, '')) as above, concat_ws(chr(10) || chr(10), nullif('# ' || h1, '# '), nullif(said, '')) as below from parts)
+"""
+
+
+@_register(_MARKDOWN + "select page_id, concat_ws(chr(10) || chr(10), nullif(above, ''), nullif(below, '')) as markdown from shown")
 def html_markdown(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "pages").select("page_id", html_to_markdown("html").alias("markdown"))
 
 
-@_register()
+@_register(_MARKDOWN + f"""
+, d as (select page_id, {_CANONICAL} as canonical_url, regexp_extract(h1, '^([^' || chr(10) || ']*?)\\s*(?:' || chr(10) || '|$)', 1) as title,
+  concat_ws(chr(10) || chr(10), nullif(above, ''), '<a id="chunk-0001"></a>' || chr(10) || below) || chr(10) as body from shown)
+select page_id, canonical_url, title, body, sha256(body) as content_sha256, substr(sha256(substr(sha256('web_crawl:pages'), 1, 16) || ':' || canonical_url || ':' || page_id), 1, 16) as document_id, 1 as chunks, 'skipped' as heading_verdict from d
+""")
 def web_documents_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return web_documents(table(spark, sf_dir, "pages"))
 
 
 QUERIES["web_documents"] = QUERIES.pop("web_documents_query")
+ORACLE_SQL["web_documents"] = ORACLE_SQL.pop("web_documents_query")
 
 
 @_register(r"""

@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from foliary.functions import ids, routing, scores, text, urls
 from foliary.operators import manifests, ranges
 from foliary.plans.tables import Registry, table
-from foliary.plans.triage import triage
 from foliary.sources import files, sinks
 
 _register = Registry()
@@ -136,28 +135,6 @@ def x_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("user_id", scores.x_clusters(F.col("xs")).alias("clusters"))
 
 
-@_register()
-def triage_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents of a source as the pages of a file, repaired by a stand-in engine."""
-    pages = table(spark, sf_dir, "documents").selectExpr("source as doc_id", "cast(row_number() over (partition by source order by doc_id) - 1 as int) as page_index", "cast(count(*) over (partition by source) as int) as total_pages", "text", "cast(doc_id % 4 as int) as images", "false as has_widgets", "array(0.0D) as xs")
-    data = pages.select("doc_id").distinct().withColumn("content", F.col("doc_id").cast("binary"))
-    return triage(pages, data, stand_in_engine)
-
-
-def stand_in_engine(content: bytes, first: int, last: int, ocr: bool) -> list[str]:
-    return [f"{content.decode()} page {i}" for i in range(first, last + 1)]
-
-
-@_register()
-def crawl_bfs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from foliary.plans.crawl import CrawlRules, crawl
-
-    pages = table(spark, sf_dir, "pages")
-    start = pages.orderBy("page_id").first()["url"]
-    web = pages.select("url", F.col("html").alias("body"), F.lit("text/html").alias("content_type"), F.lit(None).cast("string").alias("final_url"))
-    return crawl(spark, start, web, CrawlRules(max_pages=50, max_depth=2, domain_lock=False))
-
-
 @_register("select page_id, 'web_crawl:' || url as source, regexp_matches(url, '^https?:') as is_web, case when page_id % 6 <= 5 then true else false end as may_redirect from pages")
 def web_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     key = F.concat(F.lit("web_crawl:"), F.col("url"))

@@ -26,8 +26,8 @@ def event_counts(events: DataFrame, window: str = "1 hour", delay: str = "10 min
     return timed.agg(F.count("*").alias("n"), F.sum("value").alias("total")).select(F.col("w.start").alias("start"), "event_type", "n", "total")
 
 
-def upsert(stream: DataFrame, folder: str, checkpoint: str, key: str, buckets: int = 64) -> StreamingQuery:
-    """Keep the newest row per key in a Parquet table of hash buckets; a batch rewrites only the buckets it touches.
+def upsert(stream: DataFrame, folder: str, checkpoint: str, key: str, order: str, buckets: int = 64) -> StreamingQuery:
+    """Keep the newest row per key (that of the greatest ``order``) in a Parquet table of hash buckets; a batch rewrites only the buckets it touches.
 
     Each batch writes new versions beside the old (folder/bucket=…/batch=…)
     and readers take the newest version of each bucket, so a batch that runs
@@ -36,14 +36,15 @@ def upsert(stream: DataFrame, folder: str, checkpoint: str, key: str, buckets: i
 
     def merge(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
-        rows = batch.dropDuplicates([key]).withColumn("bucket", F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int"))
+        newest = lambda df: df.groupBy(key).agg(F.max_by(F.struct("*"), F.col(order)).alias("r")).select("r.*")
+        rows = newest(batch).withColumn("bucket", F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int"))
         touched = [r["bucket"] for r in rows.select("bucket").distinct().collect()]
         if not touched:
             return
         old = read_upserted(spark, folder, before=number)
         if old is not None:
-            kept = old.where(F.col("bucket").isin(touched)).join(rows.select(key), key, "left_anti")
-            rows = rows.unionByName(kept.select(*rows.columns))
+            kept = old.where(F.col("bucket").isin(touched))
+            rows = newest(rows.unionByName(kept.select(*rows.columns)))
         rows.withColumn("batch", F.lit(number)).repartition("bucket").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("bucket", "batch").parquet(folder)
 
     return stream.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

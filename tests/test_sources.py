@@ -271,3 +271,32 @@ def test_triage(spark):
     whole = spark.createDataFrame([(1, bytearray(b"one"), 10, False), (2, bytearray(b"two"), 3, True)], "doc_id int, content binary, total_pages int, needs_ocr boolean")
     out = {r["doc_id"]: r for r in chunked(whole, engine, max_pages=4, overlap=1).collect()}
     assert "better 0" in out[1]["body"] and not out[1]["error"] and "RuntimeError" in out[2]["error"]
+
+
+def test_runtime():
+    import io
+
+    from foliary import runtime
+
+    assert runtime.available("transcript") and runtime.available("configuration") and not runtime.installed("no_such_library")
+    if not runtime.available("layout"):
+        with pytest.raises(runtime.MissingDependency):
+            runtime.require("layout")
+    runtime.require("html")
+    out, heard = io.StringIO(), []
+    p = runtime.Progress(3, out, lambda *x: heard.append(x))
+    assert list(p.over(["a", "b\x00", "c"])) == ["a", "b\x00", "c"]
+    assert heard == [(1, 3, "a"), (2, 3, "b "), (3, 3, "c")] and p.percent == 100
+    assert out.getvalue().splitlines() == ["[ 33%] 1/3 a", "[ 67%] 2/3 b", "[100%] 3/3 c"]
+    p.log("note")
+    assert out.getvalue().endswith("note\n") and runtime.Progress(0, out).percent == 100
+    nearly = runtime.Progress(1000, out, done=999)
+    assert nearly.percent == 99
+
+
+def test_listed_files(spark, tmp_path):
+    (tmp_path / "a").mkdir()
+    (tmp_path / "a/x.md").write_text("x")
+    (tmp_path / "y.txt").write_text("yy")
+    got = {(r["relative_path"], r["length"], bytes(r["content"])) for r in files.listed_files(spark, [f"{tmp_path}/a/x.md", f"{tmp_path}/y.txt"]).collect()}
+    assert got == {("x.md", 1, b"x"), ("y.txt", 2, b"yy")}
