@@ -68,12 +68,18 @@ def peak_fit(rows: DataFrame, peak: str, load: str) -> DataFrame:
     return ok.agg(F.regr_intercept(F.col(peak), F.col(load)).alias("base"), F.regr_slope(F.col(peak), F.col(load)).alias("k"), F.count("*").alias("n"))
 
 
-def exclusive_percentile(values: Column, n: int, i: int) -> Column:
-    """Cut point i of n of a sorted array by the exclusive method: interpolated at i * (size + 1) / n."""
-    at = F.lit(i) * (F.size(values) + 1) / F.lit(n)
-    low = F.greatest(F.lit(1), F.least(F.size(values) - 1, F.floor(at))).cast("int")
-    a, b = F.element_at(values, low), F.element_at(values, low + 1)
-    return F.when(F.size(values) >= 2, a + (b - a) * (at - low))
+def exclusive_percentile(rows: DataFrame, group: str, value: str, n: int, k: int) -> DataFrame:
+    """(group, percentile): the k-th of the n - 1 cut points of each group's values, between two of them in proportion; null of one value alone.
+
+    Values are ranked in a sort that may spill; no array of a group is made.
+    """
+    w = Window.partitionBy(group)
+    ranked = rows.select(group, F.col(value).cast("double").alias("_x"), F.row_number().over(w.orderBy(value)).alias("_r"), F.count("*").over(w).alias("_n"))
+    at = F.lit(k) * (F.col("_n") + 1) / n
+    low = F.greatest(F.lit(1), F.least(F.col("_n") - 1, F.floor(at)))
+    near = ranked.withColumns({"_at": at, "_low": low}).where((F.col("_r") == F.col("_low")) | (F.col("_r") == F.col("_low") + 1))
+    x, y = F.max(F.when(F.col("_r") == F.col("_low"), F.col("_x"))), F.max(F.when(F.col("_r") > F.col("_low"), F.col("_x")))
+    return near.groupBy(group).agg((x + (y - x) * (F.max("_at") - F.max("_low"))).alias("percentile"))
 
 
 def merge_gap_verdict(runs: DataFrame) -> DataFrame:

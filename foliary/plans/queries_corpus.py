@@ -437,8 +437,9 @@ def merge_gap_verdict(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_register("with v as (select source, list_sort(list(n_chars)) as x, count(*) as n from documents group by source), p as (select *, 9 * (n + 1) / 10.0 as a, greatest(1, least(n - 1, floor(9 * (n + 1) / 10.0))) as lo from v) select source, median(n_chars) as median_chars, any_value(round(x[lo::int] + (x[lo::int + 1] - x[lo::int]) * (a - lo), 6)) as p90 from p join documents using (source) group by source")
 def section_percentiles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = _docs(spark, sf_dir).groupBy("source").agg(F.median("n_chars").alias("median_chars"), F.array_sort(F.collect_list("n_chars")).alias("x"))
-    return rows.select("source", "median_chars", F.round(corpus.exclusive_percentile(F.col("x"), 10, 9), 6).alias("p90"))
+    docs = _docs(spark, sf_dir)
+    middle = docs.groupBy("source").agg(F.median("n_chars").alias("median_chars"))
+    return middle.join(corpus.exclusive_percentile(docs, "source", "n_chars", 10, 9), "source").select("source", "median_chars", F.round("percentile", 6).alias("p90"))
 
 
 @_register("""

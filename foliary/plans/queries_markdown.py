@@ -155,15 +155,14 @@ def frontmatter_split(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @_register("""
-select doc_id, sha256('---' || chr(10) || 'content_sha256: "' || sha256(text || chr(10)) || '"' || chr(10) || 'lang: "' || lang || '"' || chr(10) || 'title: "Doc ' || doc_id || '"' || chr(10) || '---' || chr(10) || text || chr(10)) as document_sha256
-from documents where text not like '%' || chr(10)
+with b as (select doc_id, lang, case when text = '' or text like '%' || chr(10) then text else text || chr(10) end as body from documents)
+select doc_id, sha256('---' || chr(10) || 'content_sha256: "' || sha256(body) || '"' || chr(10) || 'lang: "' || lang || '"' || chr(10) || 'title: "Doc ' || doc_id || '"' || chr(10) || '---' || chr(10) || body) as document_sha256 from b
 """)
 def frontmatter_yaml(spark: SparkSession, sf_dir: str) -> DataFrame:
     from foliary.sources.markdown import assemble
 
-    rows = table(spark, sf_dir, "documents").where(~F.col("text").endswith("\n"))
     whole = assemble({"title": F.concat(F.lit("Doc "), F.col("doc_id").cast("string")), "lang": F.col("lang")}, F.col("text"))
-    return rows.select("doc_id", F.sha2(F.encode(whole, "UTF-8"), 256).alias("document_sha256"))
+    return table(spark, sf_dir, "documents").select("doc_id", F.sha2(F.encode(whole, "UTF-8"), 256).alias("document_sha256"))
 
 
 _SPEC = """concat('openapi: 3.0.1\npaths:\n  /items/{id}:\n    get:\n      operationId: get', cast(doc_id as string), '\n      summary: Item ', lang, '\n      responses:\n        "200":\n          description: ok\ncomponents:\n  schemas:\n    Item:\n      type: object\n')"""

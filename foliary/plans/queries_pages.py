@@ -90,7 +90,7 @@ def url_sanitize(spark: SparkSession, sf_dir: str) -> DataFrame:
 select page_id, 'web_crawl:' || url || case when page_id % 3 <> 0 then ':depth=' || (page_id % 3) else '' end || case when page_id % 5 = 0 then ':max_pages=' || page_id else '' end
   || case when page_id % 2 = 0 then ':domain_lock=false' else '' end || case when page_id % 4 <> 0 then ':rate_limit_ms=' || (page_id % 4) else '' end as source_key,
   'local_file:a.md,b-' || page_id || '.md' as local_key, url as source_url
-from pages where url not like '%:depth%'
+from pages
 """)
 def source_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = F.col("page_id")
@@ -98,7 +98,7 @@ def source_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     options = ((p % 3).cast("int"), F.when(p % 5 == 0, p), p % 2 != 0, (p % 4).cast("int"))
     key = ids.source_key(F.lit("web_crawl"), text, text, none.cast("array<string>"), F.col("url"), text, none.cast("array<string>"), *options)
     local = ids.source_key(F.lit("local_file"), text, text, F.array(F.concat(F.lit("b-"), p, F.lit(".md")), F.lit("a.md")), text, text, none.cast("array<string>"), *options)
-    return table(spark, sf_dir, "pages").where(~F.col("url").contains(":depth")).select("page_id", key.alias("source_key"), local.alias("local_key"), ids.source_url(key).alias("source_url"))
+    return table(spark, sf_dir, "pages").select("page_id", key.alias("source_key"), local.alias("local_key"), ids.source_url(key).alias("source_url"))
 
 
 @_register(r"""

@@ -51,7 +51,7 @@ def toc_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
 def repository_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = F.col("doc_id")
     entry = F.struct(F.concat(F.lit("r/"), "source", F.lit("/d"), d.cast("string"), F.when(d % 3 == 1, ".py").otherwise(".md")).alias("path"), F.when(d % 3 == 2, "tree").otherwise("blob").alias("type"))
-    tree = table(spark, sf_dir, "documents").groupBy("source").agg(F.to_json(F.struct(F.collect_list(entry).alias("tree"))).alias("tree"))
+    tree = table(spark, sf_dir, "documents").select(F.to_json(F.struct(F.array(entry).alias("tree"))).alias("tree"))
     return files.repository_files(tree, "**/*.md")
 
 
