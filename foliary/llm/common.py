@@ -74,6 +74,13 @@ def materialise(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def few(df: DataFrame, rows: int, each: int) -> DataFrame:
+    """The same rows in as many partitions as ``each`` rows ask for, where Spark has more: a small table then is a few files, not hundreds."""
+    most = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    wanted = max(1, -(-rows // each))
+    return df.coalesce(wanted) if wanted < most else df
+
+
 def discard(*written: DataFrame) -> None:
     """Delete the files of materialised rows that no later step reads."""
     for df in written:

@@ -26,7 +26,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from foliary.llm.common import discard, hold, map_texts, marked, marks, materialise, sorted_groups, text_slices, texts_of
+from foliary.llm.common import discard, few, hold, map_texts, marked, marks, materialise, sorted_groups, text_slices, texts_of
 from foliary.llm.components import connected_components
 from foliary.llm.simhash import gray_rank, hashes, link_edges, majority
 
@@ -292,8 +292,9 @@ def _bounded(pairs: DataFrame, drawn: DataFrame, similarity: float) -> DataFrame
 
 def _verified(pairs: DataFrame, known: DataFrame, docs: DataFrame, similarity: float, size: int, id_col: str, text_col: str) -> DataFrame:
     """The pairs whose shingle sets are of the similarity. Only sets of texts that a pair names are made and moved."""
-    asked = materialise(_ends(pairs).join(known.select("n", "least"), "n"))
-    shingles = materialise(_sets(docs, asked, size, id_col, text_col))
+    n = pairs.count()
+    asked = materialise(few(_ends(pairs).join(known.select("n", "least"), "n"), n, 100_000))
+    shingles = materialise(few(_sets(docs, asked, size, id_col, text_col), n, 1_000))
     both = pairs.join(shingles.select(F.col("n").alias("a"), F.col("shingles").alias("x")), "a").join(shingles.select(F.col("n").alias("b"), F.col("shingles").alias("y")), "b")
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -310,7 +311,7 @@ def _verified(pairs: DataFrame, known: DataFrame, docs: DataFrame, similarity: f
             at = pa.array(np.flatnonzero(keep))
             yield pa.RecordBatch.from_arrays([batch.column("a").take(at), batch.column("b").take(at)], ["a", "b"])
 
-    found = materialise(both.select("a", "b", "x", "y").mapInArrow(verify, "a bigint, b bigint"))
+    found = materialise(few(both.select("a", "b", "x", "y"), n, 1_000).mapInArrow(verify, "a bigint, b bigint"))
     discard(asked, shingles)
     return found
 

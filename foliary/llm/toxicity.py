@@ -21,11 +21,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from foliary.llm.bpe import WordCache
-from foliary.llm.common import bound_batches, discard, hold, map_texts, materialise, text_slices, texts_of
+from foliary.llm.common import bound_batches, discard, few, hold, map_texts, materialise, text_slices, texts_of
 from foliary.llm.trees import BoostedTrees, isotonic
 
 #: The bound on labelled rows that are fitted.
 MOST_ROWS = 12_000
+#: Labelled rows that a task takes.
+TASK_ROWS = 600
 #: Folds of the fit.
 FOLDS = 5
 #: Share of a score that is the trees' own probability.
@@ -195,7 +197,7 @@ def _words(text: str) -> list[str]:
     return [w for w in map(clean, text.split()) if len(w) > 2]
 
 
-def _count_stems(sample: DataFrame) -> StemCounts:
+def _count_stems(sample: DataFrame, most_rows: int) -> StemCounts:
     """Counts over the sample (raw, label), in which texts of one near key and label count once. Texts stay on the executors."""
 
     def run(batches):
@@ -208,7 +210,7 @@ def _count_stems(sample: DataFrame) -> StemCounts:
                 yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), piece.column("label"), piece.column("h"), pa.array(found, pa.list_(pa.string()))], ["near", "label", "h", "stems"])
 
     told = sample.mapInArrow(run, "near bigint, label int, h bigint, stems array<string>")
-    once = materialise(told.groupBy("near", "label").agg(F.min_by("stems", "h").alias("stems")).withColumn("fold", F.col("near") % FOLDS))
+    once = materialise(few(told.groupBy("near", "label").agg(F.min_by("stems", "h").alias("stems")), most_rows, TASK_ROWS).withColumn("fold", F.col("near") % FOLDS))
     kinds = [(y, k) for y in (0, 1) for k in range(FOLDS)]
     here = lambda y, k: F.count_if((F.col("label") == y) & (F.col("fold") == k))
     documents = np.array(once.agg(*[here(y, k) for y, k in kinds]).first(), np.int64).reshape(2, FOLDS)
@@ -264,13 +266,14 @@ def train(docs: DataFrame, labels: DataFrame, most_rows: int = MOST_ROWS, id_col
     chosen = chosen.orderBy(F.xxhash64("labelled"), "labelled", "label").limit(most_rows)
     texts = docs.select(F.col(id_col).alias("labelled"), F.coalesce(F.col(text_col), F.lit("")).alias("raw")).join(F.broadcast(chosen), "labelled")
     bound_batches(docs.sparkSession)
-    sample = materialise(texts.groupBy("labelled", "label").agg(F.min("raw").alias("raw")).select("raw", "label", F.xxhash64("raw", "labelled").alias("h")))
+    once = few(texts.groupBy("labelled", "label").agg(F.min("raw").alias("raw")), most_rows, TASK_ROWS)
+    sample = materialise(once.select("raw", "label", F.xxhash64("raw", "labelled").alias("h")))
     model = Model()
     n = {r["label"]: r["count"] for r in sample.groupBy("label").count().collect()}
     if len(n) < 2:
         model.knots = (np.zeros(1), np.array([float(*n)] if n else [0.0]))
         return model
-    counts = _count_stems(sample)
+    counts = _count_stems(sample, most_rows)
     model.stems = counts.learned(list(range(FOLDS)))
     model.trees, model.knots = cross_fitted(*_features(sample, [Model(counts.learned([f for f in range(FOLDS) if f != k])) for k in range(FOLDS)]))
     discard(sample)

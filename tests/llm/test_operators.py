@@ -224,8 +224,14 @@ def test_gray_search_prunes():
 
 def test_components(spark):
     chain = [(i, i + 1) for i in range(60)] + [(100, 200), (200, 300), (7, 7)]
-    got = {r["vertex"]: r["component"] for r in connected_components(spark.createDataFrame(chain, "a bigint, b bigint")).collect()}
-    assert got == {**{i: 0 for i in range(61)}, 100: 100, 200: 100, 300: 100}
+    for one_task in (0, 1000):
+        got = {r["vertex"]: r["component"] for r in connected_components(spark.createDataFrame([*chain, (None, 5)], "a bigint, b bigint"), one_task=one_task).collect()}
+        assert got == {**{i: 0 for i in range(61)}, 100: 100, 200: 100, 300: 100}
+    r = random.Random(5)
+    many = [(r.randrange(900), r.randrange(900)) for _ in range(500)]
+    both = [{x["vertex"]: x["component"] for x in connected_components(spark.createDataFrame(many, "a bigint, b bigint"), one_task=n).collect()} for n in (0, 1000)]
+    want = components(range(900), many)
+    assert both[0] == both[1] == {k: want[k] for k in both[0]} and set(both[0]) == {x for a, b in many if a != b for x in (a, b)}
 
 
 def test_near_copies(spark, docs, none):
