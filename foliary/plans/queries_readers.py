@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import base64
 import io
+import json
 import zipfile
 
 import pandas as pd
@@ -13,7 +15,7 @@ from pyspark.sql import types as T
 from foliary.functions import guards, ids, scores, text, urls
 from foliary.operators import corpus, ranges
 from foliary.plans.tables import Registry, table
-from foliary.sources import docx, files, html, markdown, net, openapi, pdf
+from foliary.sources import docx, files, html, markdown, net, openapi, pdf, recognition
 
 _register = Registry()
 QUERIES, ORACLE_SQL = _register.queries, _register.sql
@@ -142,6 +144,26 @@ def _some_layout(data: bytes) -> list[str]:
     return [data[5:].decode()]
 
 
+def some_service(address: str, headers: dict, body: dict) -> tuple[int, str]:
+    """Answers by the last digit of the file: pages, a refusal, a fault, or no JSON."""
+    said = base64.b64decode(body["document"]["document_url"].rpartition(",")[2]).decode()
+    if address != "https://hosted.test/ocr" or headers["Authorization"] != "Bearer given":
+        return 401, "wrong credentials"
+    pages = {"pages": [{"markdown": f"# {said}"}, {"markdown": body["model"]}]}
+    return {"7": (401, "no"), "8": (503, "busy"), "9": (200, "<html>")}.get(said[-1], (200, json.dumps(pages)))
+
+
+@_register("""
+select doc_id, case when doc_id % 10 < 7 then '# f' || doc_id || chr(10) || chr(10) || 'own-model' end as body, case when doc_id % 10 < 7 then 2 end as pages,
+ case doc_id % 10 when 7 then 'CredentialError: refused: no' when 8 then 'RecognitionError: status 503: busy' when 9 then 'RecognitionError: no JSON: <html>' end as error from documents
+""")
+def recognised_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files through a stand-in service; a key that is given goes before that of the hosted deployment, whose address is used."""
+    env = {"AZURE_AI_FOUNDRY_KEY": "k", "AZURE_AI_FOUNDRY_ENDPOINT": "https://hosted.test/ocr", "MISTRAL_API_KEY": "d", "MISTRAL_OCR_MODEL": "own-model"}
+    rows = _docs(spark, sf_dir).select(F.col("doc_id").cast("string").alias("path"), _filled("f{id}").cast("binary").alias("content"))
+    return recognition.recognise(rows, some_service, env, key="given").select(F.col("path").cast("bigint").alias("doc_id"), "body", "pages", "error")
+
+
 # --- specifications --------------------------------------------------------------------------
 
 _OPERATION = """openapi: 3.0.1

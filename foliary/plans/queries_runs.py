@@ -276,7 +276,7 @@ def fussy_engine(content: bytes, first: int, last: int, ocr: bool, scale: float
 @_register("""
 with f as (select doc_id, 1 + doc_id % 120 as n from documents), c as (select *, unnest(range(0, case when n <= 50 then 1 else (n - 1) // 48 + 1 end)) * 48 as start from f),
 e as (select *, least(start + 50, n) - 1 as last, doc_id % 10 = 7 and start = 48 as torn from c)
-select doc_id, coalesce(string_agg('p' || start || '-' || last || case when doc_id % 3 = 0 then '@1.0' else '' end, chr(10) || chr(10) order by start) filter (not torn), '') as body, case when bool_or(torn) then 'OSError: torn' else '' end as error, case when bool_or(torn) then 4 else 0 end as code from e group by doc_id
+select doc_id, coalesce(string_agg('p' || start || '-' || last || case when doc_id % 3 = 0 then '@1.0' else '' end, chr(10) || chr(10) order by start) filter (not torn), '') as body, case when bool_or(torn) then 'OSError(''torn'')' else '' end as error, case when bool_or(torn) then 5 else 0 end as code from e group by doc_id
 """)
 def chunked_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Overlapping chunks in packed groups; what fails is retried smaller, then at lower scales, then conceded with its exit code."""

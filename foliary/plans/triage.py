@@ -142,13 +142,13 @@ def qa_tripwire(result: DataFrame, pages: DataFrame, engine_text: DataFrame, rat
 
 
 #: What a worker's exit says, and the render scales of a retry.
-EXITS = {"ok": 0, "failed": 2, "usage": 3, "unreadable": 4, "unavailable": 5, "memory": 6}
+EXITS = {"ok": 0, "usage": 2, "missing": 3, "unavailable": 4, "engine": 5, "other": 6}
 SCALES = (2.0, 1.5, 1.0)
 
 
 def exit_code(error: BaseException | None) -> int:
-    """The exit code that tells a kind of failure."""
-    kinds = ((MemoryError, "memory"), (ImportError, "unavailable"), (OSError, "unreadable"), ((TypeError, KeyError), "usage"), (BaseException, "failed"))
+    """The exit code of what happened: no input, a library that is not there, an engine that raised, or anything else."""
+    kinds = ((FileNotFoundError, "missing"), (ImportError, "unavailable"), (Exception, "engine"), (BaseException, "other"))
     return EXITS["ok"] if error is None else next(EXITS[name] for kind, name in kinds if isinstance(error, kind))
 
 
@@ -159,7 +159,7 @@ def attempt(engine: Callable, content: bytes, part: dict, ocr: bool, scale: floa
         pages = list(engine(content, part["start"], part["stop"] - 1, ocr, **more))
         return {"chunk": part["chunk"], "text": "\n\n".join(pages), "error": None, "code": EXITS["ok"]}
     except Exception as e:
-        return {"chunk": part["chunk"], "text": None, "error": f"{type(e).__name__}: {e}", "code": exit_code(e)}
+        return {"chunk": part["chunk"], "text": None, "error": repr(e), "code": exit_code(e)}
 
 
 def dispatch(engine: Callable, content: bytes, parts: list[dict], ocr: bool, cap: int, scales: tuple[float, ...]) -> list[dict]:

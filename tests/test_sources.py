@@ -300,3 +300,15 @@ def test_listed_files(spark, tmp_path):
     (tmp_path / "y.txt").write_text("yy")
     got = {(r["relative_path"], r["length"], bytes(r["content"])) for r in files.listed_files(spark, [f"{tmp_path}/a/x.md", f"{tmp_path}/y.txt"]).collect()}
     assert got == {("x.md", 1, b"x"), ("y.txt", 2, b"yy")}
+
+
+def test_recognition_credentials():
+    from foliary.sources import recognition as r
+
+    hosted, direct = dict(zip(r.HOSTED, ("hk", "https://h/"), strict=True)), {r.DIRECT_KEY: " dk "}
+    assert r.credentials({}, "k", "https://e/") == ("k", "https://e/")
+    assert r.credentials(hosted | direct) == ("hk", "https://h/") and r.credentials(hosted, endpoint="https://x/") == ("hk", "https://x/")
+    assert r.credentials(direct) == ("dk", r.DIRECT_ENDPOINT)
+    for env, more in (({}, {}), ({r.HOSTED[0]: "k"}, {}), (direct, {"endpoint": "http://x/"})):
+        with pytest.raises(r.CredentialError):
+            r.credentials(env, **more)
