@@ -133,9 +133,9 @@ def test_streams(spark, tmp_path):
     like = spark.createDataFrame([(1, "a")], "id int, body string")
     like.write.parquet(str(src / "1"))
     frame = lambda: stream_table(spark, f"{src}/*", like)
-    upsert(frame(), table, str(ck), "id").awaitTermination()
-    spark.createDataFrame([(1, "b"), (2, "c")], "id int, body string").write.parquet(str(src / "2"))
-    upsert(frame(), table, str(ck), "id").awaitTermination()
+    upsert(frame(), table, str(ck), "id", "body").awaitTermination()
+    spark.createDataFrame([(1, "b"), (2, "c")], "id int, body string").union(spark.createDataFrame([(1, "a"), (2, "b")], like.schema)).write.parquet(str(src / "2"))
+    upsert(frame(), table, str(ck), "id", "body").awaitTermination()
     assert {(r["id"], r["body"]) for r in read_upserted(spark, table).collect()} == {(1, "b"), (2, "c")}
     events = spark.sql("select timestamp'2024-01-01 00:10:00' as ts, 'x' as event_type, 1.5D as value")
     assert event_counts(events).first()["n"] == 1
