@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from foliary.llm.common import discard, hold, materialise
+from foliary.llm.common import discard, few, hold, materialise
 
 #: Edges that one task settles.
 ONE_TASK = 1 << 17
@@ -52,13 +52,15 @@ def settled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield pa.RecordBatch.from_arrays([pa.array(names), pa.array(names[label])], ["u", "v"])
 
 
-def connected_components(edges: DataFrame, most_rounds: int = 60, one_task: int = ONE_TASK) -> DataFrame:
+def connected_components(edges: DataFrame, most_rounds: int = 60, one_task: int = ONE_TASK, rows: int | None = None) -> DataFrame:
     """(vertex, component): the smallest vertex reachable, for each vertex that an edge (a, b) names.
 
     Null ends and edges from a vertex to itself are left out; repeated edges
-    count once. A vertex without another is not returned.
+    count once. A vertex without another is not returned. ``rows`` says about
+    how many edges there are, if that is known.
     """
-    now = materialise(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("a is not null and b is not null and a <> b").distinct())
+    once = edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("a is not null and b is not null and a <> b").distinct()
+    now = materialise(once if rows is None else few(once, rows, ONE_TASK))
     n = now.count()
     if n <= one_task:
         before, now = now, materialise(now.coalesce(1).mapInArrow(settled, now.schema))

@@ -38,6 +38,8 @@ HOT_SLOT = 20_000
 WORDS, MOST_WORDS = 16, 4096
 #: Bits of a bitmap for each shingle.
 BITS_EACH = 4
+#: Texts for each file of what is written about them.
+FILE_ROWS = 10_000
 #: Nearest unconnected texts that are tried before all.
 NEAREST = 4
 #: One of so many texts is sampled for frequent shingles; how often they must occur there, and how many are ranked.
@@ -353,33 +355,33 @@ def _first_pairs(crowd: DataFrame) -> DataFrame:
     return crowd.select("key", "n", "fp").repartition("key").sortWithinPartitions("key").mapInArrow(run, "a bigint, b bigint")
 
 
-def similar_components(known: DataFrame, docs: DataFrame, size: int, similarity: float, radius: int, hot_slot: int, id_col: str, text_col: str) -> DataFrame:
-    """(vertex, component): distinct texts, by their numbers, connected by pairs of the similarity. ``known`` is (n, least, fp, size, bits, wide): one row per text, ``least`` the id of a row that has it."""
+def similar_components(known: DataFrame, docs: DataFrame, size: int, similarity: float, radius: int, hot_slot: int, id_col: str, text_col: str, many: int) -> DataFrame:
+    """(vertex, component): distinct texts, by their numbers, connected by pairs of the similarity. ``known`` is (n, least, fp, size, bits, wide): one row per text, ``least`` the id of a row that has it; ``many`` are about as many."""
     by_fp = known.groupBy("fp").agg(F.min("n").alias("n"))
     linked = link_edges(by_fp.select("fp"), radius)
     left = by_fp.select(F.col("fp").alias("a"), F.col("n").alias("na"))
     right = by_fp.select(F.col("fp").alias("b"), F.col("n").alias("nb"))
     whole = linked.join(left, "a").join(right, "b").select(F.least("na", "nb").alias("a"), F.greatest("na", "nb").alias("b"))
     same = known.join(by_fp.withColumnRenamed("n", "first"), "fp").where("n <> first").select(F.col("first").alias("a"), F.col("n").alias("b"))
-    shared = materialise(_shared(known, docs, size, similarity, id_col, text_col).distinct())
+    shared = materialise(few(_shared(known, docs, size, similarity, id_col, text_col).distinct(), many, FILE_ROWS))
     pairs = shared.where("key is null").select("a", "b").union(whole).union(same)
     crowd = shared.where("key is not null").select("key", F.col("a").alias("n"), "at")
     crowded = not crowd.isEmpty()
     if crowded:
-        crowd = materialise(crowd.join(known.select("n", "fp", "bits"), "n"))
+        crowd = materialise(few(crowd.join(known.select("n", "fp", "bits"), "n"), many, FILE_ROWS))
         pairs = pairs.union(_first_pairs(crowd))
-    pairs = materialise(_bounded(pairs.distinct(), known, similarity))
+    pairs = materialise(few(_bounded(pairs.distinct(), known, similarity), many, FILE_ROWS))
     verified = lambda found: _verified(found, known, docs, similarity, size, id_col, text_col)
     same = verified(pairs)
-    parts = connected_components(same)
+    parts = connected_components(same, rows=many)
     discard(shared, pairs)
     for nearest in (NEAREST, 0) if crowded else ():
-        more = materialise(_bounded(_unconnected(crowd, parts, similarity, hot_slot, nearest), known, similarity))
+        more = materialise(few(_bounded(_unconnected(crowd, parts, similarity, hot_slot, nearest), known, similarity), many, FILE_ROWS))
         if more.isEmpty():
             discard(more)
             break
         new = verified(more)
-        before, parts = parts, connected_components(new.union(parts.select(F.col("vertex").alias("a"), F.col("component").alias("b"))))
+        before, parts = parts, connected_components(new.union(parts.select(F.col("vertex").alias("a"), F.col("component").alias("b"))), rows=many)
         discard(more, new, before)
     discard(same, *[crowd] * crowded)
     return parts
@@ -394,9 +396,10 @@ def near_copy_groups(docs: DataFrame, size: int = 5, similarity: float = 0.8, ra
     """
     rows = materialise(_described(docs, size, id_col, text_col))
     once = rows.groupBy("t1", "t2").agg(F.min("id").alias("least"), *[F.first(c).alias(c) for c in ("fp", "size", "bits", "wide")])
-    texts = materialise(once.select("t1", "t2", _number(F.col("t1"), F.col("t2")).alias("n"), "least", "fp", "size", "bits", "wide"))
+    many = rows.count()
+    texts = materialise(few(once.select("t1", "t2", _number(F.col("t1"), F.col("t2")).alias("n"), "least", "fp", "size", "bits", "wide"), many, FILE_ROWS))
     known = texts.where("least is not null").select("n", "least", "fp", "size", "bits", "wide")
-    parts = similar_components(known, docs, size, similarity, radius, hot_slot, id_col, text_col)
+    parts = similar_components(known, docs, size, similarity, radius, hot_slot, id_col, text_col, many)
     member = texts.join(parts.withColumnRenamed("vertex", "n"), "n", "left").select("t1", "t2", "least", F.coalesce("component", "n").alias("root"))
     groups = member.groupBy("root").agg(F.min("least").alias("component_id"))
     return rows.select("id", "t1", "t2").join(member.join(groups, "root").select("t1", "t2", "component_id"), ["t1", "t2"]).select(F.col("id").alias(id_col), "component_id")

@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from foliary.llm.common import hold, map_texts, materialise, sorted_groups, texts_of
+from foliary.llm.common import few, hold, map_texts, materialise, sorted_groups, texts_of
 from foliary.llm.components import connected_components
 
 #: Parts that the 64 bits are cut into.
@@ -216,8 +216,9 @@ def near_duplicates(docs: DataFrame, size: int = 3, radius: int = 2, id_col: str
     search, so exact copies cost one row.
     """
     known = materialise(fingerprints(docs, size, id_col, text_col))
-    folded = materialise(known.groupBy("fp").agg(F.min(id_col).alias("least")))
-    parts = connected_components(link_edges(folded.select("fp"), radius))
+    many = known.count()
+    folded = materialise(few(known.groupBy("fp").agg(F.min(id_col).alias("least")), many, 100_000))
+    parts = connected_components(link_edges(folded.select("fp"), radius), rows=many)
     member = folded.join(parts, folded.fp == parts.vertex, "left").select("fp", F.coalesce("component", "fp").alias("root"), "least")
     names = member.groupBy("root").agg(F.min("least").alias("component_id"))
     named = member.join(names, "root").select("fp", "component_id")

@@ -35,7 +35,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from foliary.llm.common import discard, hold, map_texts, marked, marks, materialise, sorted_groups, text_slices, texts_of
+from foliary.llm.common import discard, few, hold, map_texts, marked, marks, materialise, sorted_groups, text_slices, texts_of
 from foliary.llm.windows import gram_hashes, rightmost_minima
 
 #: Bytes of a repeated string.
@@ -44,6 +44,8 @@ LENGTH = 400
 HOT_CONTEXTS = 1024
 #: Bytes of contexts that share one transform.
 BLOCK_BYTES = 512 << 10
+#: Anchor rows for each file of what is written about them.
+FILE_ROWS = 50_000
 #: Bytes of contexts that a task gets.
 TASK_BYTES = 2 << 20
 #: Mixed intervals up to this size are spread out symbol by symbol; larger ones use rank queries.
@@ -326,14 +328,15 @@ def repeated_ranges(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id
     shared = materialise(_anchor_rows(keyed, length, marks(repeated, "anchor")))
     discard(repeated)
     # Written out, so that the join by anchor has plain shuffles on both sides, of which Spark can split a hot anchor.
-    by_ctx = materialise(shared.groupBy("anchor", "ctx").agg(F.count("*").alias("n"), F.min(F.struct("key", "t1", "t2", "pos", "lo", "hi")).alias("at")))
+    many = shared.count()
+    by_ctx = materialise(few(shared.groupBy("anchor", "ctx").agg(F.count("*").alias("n"), F.min(F.struct("key", "t1", "t2", "pos", "lo", "hi")).alias("at")), many, FILE_ROWS))
     by_anchor = by_ctx.groupBy("anchor").agg(F.count("*").alias("n_ctx")).where("n_ctx > 1")
     wanted = by_ctx.join(by_anchor, "anchor").select("anchor", "ctx", "at.*", (F.col("n_ctx") > hot_contexts).alias("hot"))
-    contexts = materialise(_contexts(keyed, wanted, length))
+    contexts = materialise(few(_contexts(keyed, wanted, length), many, FILE_ROWS))
     whole = by_ctx.where("n > 1").select("anchor", "ctx", F.lit(0).alias("start_from"), (F.col("at.hi") - F.col("at.lo")).alias("start_to"))
     parts = whole.unionByName(_by_suffixes(contexts, length)).unionByName(_by_windows(contexts, length))
     placed = shared.join(parts, ["anchor", "ctx"]).select("key", "t1", "t2", F.struct((F.col("lo") + F.col("start_from")).alias("first"), (F.col("lo") + F.col("start_to")).alias("last")).alias("r"))
-    ranges = materialise(placed.groupBy("key", "t1", "t2").agg(F.collect_set("r").alias("ranges")))
+    ranges = materialise(few(placed.groupBy("key", "t1", "t2").agg(F.collect_set("r").alias("ranges")), many, FILE_ROWS))
     discard(shared, by_ctx, contexts)
     return ranges
 
