@@ -312,3 +312,43 @@ def test_recognition_credentials():
     for env, more in (({}, {}), ({r.HOSTED[0]: "k"}, {}), (direct, {"endpoint": "http://x/"})):
         with pytest.raises(r.CredentialError):
             r.credentials(env, **more)
+
+
+def test_layout_engine():
+    import pickle
+
+    from foliary.sources import layout
+
+    assert layout.thread_settings(0, {"OMP_NUM_THREADS": "9"}) == {"MKL_NUM_THREADS": "1", "OPENBLAS_NUM_THREADS": "1", "TOKENIZERS_PARALLELISM": "false"}
+    assert layout.device(None) is layout.device(" Auto ") is None and layout.device("CUDA") == "cuda"
+    with pytest.raises(ValueError):
+        layout.device("abacus")
+    engine = layout.LayoutEngine(stand_in_converter)
+    assert engine(b"x", 0, 4, True) == ["x (1, 5) True 2.0"] and engine(b"x", 2, 2, False, 1.0) == ["x (3, 3) False 1.0"]
+    assert engine(b"", 0, 0, True) == [] and engine.whole(b"y") == ["y None True 2.0"]
+    assert engine.with_pictures(b"z") == ("z None True 2.0", [b"PNG"])
+    assert len(engine.made) == 3 and not pickle.loads(pickle.dumps(engine)).made
+
+
+def stand_in_converter(ocr, scale, pictures):
+    class Image:
+        def __init__(self, good):
+            self.good = good
+
+        def save(self, out, format):
+            if not self.good:
+                raise OSError
+            out.write(format.encode())
+
+    class Holder:
+        def __init__(self, good):
+            self.image = Image(good)
+
+    class Document:
+        def __init__(self, said):
+            self.said, self.pictures = said, [Holder(True), Holder(False)] if pictures else None
+
+        def export_to_markdown(self):
+            return self.said
+
+    return lambda content, pages: Document(f"{content.decode()} {pages} {ocr} {scale}\n" if content else " ")
