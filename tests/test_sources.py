@@ -6,13 +6,14 @@ import zipfile
 import zlib
 
 import pytest
+import yaml
 from pyspark.sql import functions as F
 
 from foliary import cli
 from foliary.plans.crawl import CrawlRules, crawl
 from foliary.plans.process import process
 from foliary.plans.triage import chunked, triage, triage_statistics
-from foliary.sources import docx, files, html, markdown, net, openapi, pdf, sinks
+from foliary.sources import docx, files, html, markdown, net, openapi, pdf, sinks, yamls
 
 W = "http://schemas.openxmlformats.org/wordprocessingml/2006/main"
 
@@ -352,3 +353,29 @@ def stand_in_converter(ocr, scale, pictures):
             return self.said
 
     return lambda content, pages: Document(f"{content.decode()} {pages} {ocr} {scale}\n" if content else " ")
+
+
+def test_yaml_is_read_as_by_pyyaml():
+    texts = ["a: &x {b: 1, c: [1.5, ~, yes, 2024-01-01, '5']}\nd: {<<: *x, e: 0x1f}\n200: *x\n", "a: !!set {b, c}\n", "a: !!binary aGk=\n", "", "- 7\n", "=: 1\n", "a: |\n  b\n"]
+    assert [yamls.safe_load(t) for t in texts] == [yaml.safe_load(t) for t in texts]
+    loop = yamls.safe_load("a: &r [*r]")["a"]
+    assert loop[0] is loop
+    for bad in ("a: [", "a: *no", "? {a: 1}\n: 2\n", "!x a"):
+        with pytest.raises(yaml.YAMLError):
+            yamls.safe_load(bad)
+    with pytest.raises(openapi.SpecError, match="nested too deeply"):
+        openapi.load("[" * 100_000 + "]" * 100_000)
+
+
+def test_a_specification_is_parsed_once(monkeypatch):
+    calls = []
+    monkeypatch.setattr(openapi, "safe_load", lambda t: calls.append(t) or yaml.safe_load(t))
+    openapi.documents(SPEC, "specs/api.yaml")
+    assert calls == [SPEC]
+
+
+def test_texts_that_may_ask_for_other_files(spark):
+    near = ["a: {$ref: '#/x'}", '{"$ref": "#/x"}', "a: 1", "b: {$ref : \"#/x\"}"]
+    far = ["a: {$ref: 'f.yaml#/x'}", "a: {$ref: f.yaml#/x}", "a: {$ref: '#/x'}\nb: {$ref: g.yaml}", r'{"$ref": "f.yaml#/x"}', "&k $ref: '#/x'\nb: {*k : f.yaml}", "? $ref\n: f.yaml#/x", "a: {$ref: *v}"]
+    rows = spark.createDataFrame([(t, t in far) for t in near + far], "t string, far boolean").select("far", openapi._may_ask(F.col("t")).alias("may"))
+    assert [r for r in rows.collect() if r["far"] != r["may"]] == []
