@@ -363,11 +363,11 @@ def glob_selection(spark: SparkSession, sf_dir: str) -> DataFrame:
 select substr(sha256('web_crawl:' || url), 1, 16) as job_id, 'web_crawl:' || url as source, 'p' || page_id || '.html' as relative_path, length(html) as chars from pages where page_id % 3 = 0
 """)
 def completed_jobs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A staging area of one job per page, of which a third is complete, a third is not, and a third has damaged metadata."""
+    """Each page staged in an area of its own, as pages may repeat an address: a third of the jobs is complete, a third is not, a third has damaged metadata."""
     p = F.col("page_id")
     source = F.concat(F.lit("web_crawl:"), "url")
     job = ids.job_id(source)
-    folder = F.concat(F.lit("file:/st/"), F.substring(job, 1, 2), F.lit("/"), job, F.lit("/"))
+    folder = F.concat(F.lit("file:/st/"), p.cast("string"), F.lit("/"), F.substring(job, 1, 2), F.lit("/"), job, F.lit("/"))
     told = F.when(p % 3 == 2, F.lit("{no")).otherwise(F.to_json(F.struct(job.alias("job_id"), F.lit("x").alias("cache_path"), (p % 3 == 0).alias("complete"), F.struct(source.alias("source")).alias("metadata"))))
     both = F.array(F.struct(F.concat(folder, F.lit("metadata.json")).alias("path"), told.alias("text")), F.struct(F.concat(folder, F.lit("p"), p.cast("string"), F.lit(".html")).alias("path"), F.col("html").alias("text")))
     found = table(spark, sf_dir, "pages").select(F.explode(both).alias("f")).select("f.path", F.length("f.text").cast("bigint").alias("length"), F.col("f.text").cast("binary").alias("content"))

@@ -379,3 +379,11 @@ def test_texts_that_may_ask_for_other_files(spark):
     far = ["a: {$ref: 'f.yaml#/x'}", "a: {$ref: f.yaml#/x}", "a: {$ref: '#/x'}\nb: {$ref: g.yaml}", r'{"$ref": "f.yaml#/x"}', "&k $ref: '#/x'\nb: {*k : f.yaml}", "? $ref\n: f.yaml#/x", "a: {$ref: *v}"]
     rows = spark.createDataFrame([(t, t in far) for t in near + far], "t string, far boolean").select("far", openapi._may_ask(F.col("t")).alias("may"))
     assert [r for r in rows.collect() if r["far"] != r["may"]] == []
+
+
+def test_a_job_staged_twice_is_two_jobs(spark):
+    job = "0123456789abcdef"
+    told = lambda done: json.dumps({"job_id": job, "complete": done, "metadata": {"source": "s"}}).encode()
+    found = [(f"file:/{a}/01/{job}/{n}", len(c), c) for a, n, c in (("a", "metadata.json", told(True)), ("a", "x.md", b"1"), ("b", "metadata.json", told(True)), ("b", "sub/y.md", b"2"), ("c", "metadata.json", told(False)), ("c", "z.md", b"3"))]
+    done = files.completed_jobs(spark.createDataFrame(found, "path string, length bigint, content binary"))
+    assert sorted((r["relative_path"], bytes(r["content"])) for r in done.collect()) == [("sub/y.md", b"2"), ("x.md", b"1")]
