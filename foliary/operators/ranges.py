@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from itertools import zip_longest
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -34,25 +38,38 @@ def split_ranges(total: Column, max_pages: int, overlap: int = 2) -> Column:
     return F.when(total > max_pages, F.transform(F.sequence(F.lit(0), total - 1, F.lit(stride)), chunk)).when(total > 0, whole).otherwise(F.array().cast("array<struct<chunk:int,start:int,stop:int>>"))
 
 
+def _packed(counts: Sequence[int | None], ocr: Sequence[bool | None] | None, most: int, ocr_most: int) -> list[int]:
+    """Group numbers of one document's items. A comparison with an unknown number or class opens no group."""
+    out, group, total, was = [], -1, 0, None
+    for n, is_ocr in zip_longest(counts, [False] * len(counts) if ocr is None else ocr):
+        over = total is not None and n is not None and total + n > (ocr_most if is_ocr else most)
+        if group < 0 or (was is not None and is_ocr is not None and was != is_ocr) or over:
+            group, total = group + 1, 0
+        total = None if total is None or n is None else total + n
+        was = is_ocr
+        out.append(group)
+    return out
+
+
 def greedy_groups(counts: Column, max_pages: int, needs_ocr: Column | None = None, ocr_max_pages: int = 8) -> Column:
     """Group number of each item, in order: a group closes when the next item would exceed its cap, or is of another class.
 
-    An item larger than the cap stands alone. A fold over one array per
-    document: the recurrence is sequential, the state is three numbers.
+    An item larger than the cap stands alone. The recurrence is sequential and
+    its state is three numbers; one pass in Python, as a fold in Spark copies
+    what it has so far at each item.
     """
     if min(max_pages, ocr_max_pages) < 1:
         raise ValueError("caps must be 1 or more")
-    start = F.struct(F.lit(-1).alias("g"), F.lit(0).cast("bigint").alias("sum"), F.lit(None).cast("boolean").alias("ocr"), F.array().cast("array<int>").alias("out"))
-    pair = lambda c, o: F.struct(c.cast("bigint").alias("n"), o.alias("ocr"))
-    items = F.transform(counts, lambda c: pair(c, F.lit(False))) if needs_ocr is None else F.zip_with(counts, needs_ocr, pair)
 
-    def step(acc: Column, x: Column) -> Column:
-        cap = F.when(x["ocr"], ocr_max_pages).otherwise(max_pages)
-        new = (acc["g"] < 0) | (acc["ocr"] != x["ocr"]) | (acc["sum"] + x["n"] > cap)
-        g = acc["g"] + F.when(new, 1).otherwise(0)
-        return F.struct(g.alias("g"), (F.when(new, F.lit(0).cast("bigint")).otherwise(acc["sum"]) + x["n"]).alias("sum"), x["ocr"].alias("ocr"), F.array_append(acc["out"], g).alias("out"))
+    @F.pandas_udf("array<int>")
+    def of_one(counts: pd.Series) -> pd.Series:
+        return pd.Series([None if c is None else _packed(c.tolist(), None, max_pages, ocr_max_pages) for c in counts], dtype=object)
+
+    @F.pandas_udf("array<int>")
+    def of_two(counts: pd.Series, ocr: pd.Series) -> pd.Series:
+        return pd.Series([None if c is None or o is None else _packed(c.tolist(), o.tolist(), max_pages, ocr_max_pages) for c, o in zip(counts, ocr, strict=True)], dtype=object)
 
-    return F.aggregate(items, start, step, lambda acc: acc["out"])
+    return of_one(counts) if needs_ocr is None else of_two(counts, needs_ocr)
 
 
 def heading_bands(runs: DataFrame, key: str = "doc_id", size: str = "font_size") -> DataFrame:

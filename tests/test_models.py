@@ -2,6 +2,7 @@
 
 import random
 import re
+import time
 
 from pyspark.sql import functions as F
 
@@ -139,3 +140,24 @@ def test_streams(spark, tmp_path):
     assert {(r["id"], r["body"]) for r in read_upserted(spark, table).collect()} == {(1, "b"), (2, "c")}
     events = spark.sql("select timestamp'2024-01-01 00:10:00' as ts, 'x' as event_type, 1.5D as value")
     assert event_counts(events).first()["n"] == 1
+
+
+def test_packing_is_linear(spark):
+    """A fold that copies what it has at each item takes minutes here."""
+    n = 150_000
+    rows = spark.range(1).selectExpr(f"transform(sequence(1, {n}), i -> i % 17 + 1) as counts", f"transform(sequence(1, {n}), i -> i % 3 = 0) as ocr")
+    began = time.monotonic()
+    got = rows.select(ranges.greedy_groups(F.col("counts"), 40).alias("a"), ranges.greedy_groups(F.col("counts"), 40, F.col("ocr"), 8).alias("b")).first()
+    assert time.monotonic() - began < 30
+    total, group = 0, 0
+    for i, g in enumerate(got["a"], 1):
+        k = i % 17 + 1
+        total, group = (k, group + 1) if total + k > 40 else (total + k, group)
+        assert g == group
+    assert len(got["b"]) == n and got["b"][:4] == [0, 0, 1, 2]
+
+
+def test_packing_of_odd_items(spark):
+    rows = spark.createDataFrame([([50, None, 3, 38], [False, False, None, True]), ([], []), (None, None)], "counts array<int>, ocr array<boolean>")
+    got = rows.select(ranges.greedy_groups(F.col("counts"), 40).alias("a"), ranges.greedy_groups(F.col("counts"), 40, F.col("ocr")).alias("b")).collect()
+    assert [(r["a"], r["b"]) for r in got] == [([0, 0, 0, 0], [0, 0, 0, 0]), ([], []), (None, None)]
