@@ -10,6 +10,7 @@ import yaml
 from pyspark.sql import functions as F
 
 from foliary import cli
+from foliary.operators import links
 from foliary.plans.crawl import CrawlRules, crawl
 from foliary.plans.process import process
 from foliary.plans.triage import chunked, triage, triage_statistics
@@ -387,3 +388,23 @@ def test_a_job_staged_twice_is_two_jobs(spark):
     found = [(f"file:/{a}/01/{job}/{n}", len(c), c) for a, n, c in (("a", "metadata.json", told(True)), ("a", "x.md", b"1"), ("b", "metadata.json", told(True)), ("b", "sub/y.md", b"2"), ("c", "metadata.json", told(False)), ("c", "z.md", b"3"))]
     done = files.completed_jobs(spark.createDataFrame(found, "path string, length bigint, content binary"))
     assert sorted((r["relative_path"], bytes(r["content"])) for r in done.collect()) == [("sub/y.md", b"2"), ("x.md", b"1")]
+
+
+def test_many_small_files_are_few_tasks(spark, tmp_path):
+    for i in range(1200):
+        (tmp_path / f"{i}.md").write_text(f"# {i}\n")
+    found = files.tree_files(spark, f"file://{tmp_path}")
+    assert found.rdd.getNumPartitions() <= 4 * spark.sparkContext.defaultParallelism
+    assert found.agg(F.sum("length"), F.count_distinct("content")).first()[:] == (sum(len(f"# {i}\n") for i in range(1200)), 1200)
+
+
+def test_texts_without_includes_are_passed_on(spark):
+    docs = spark.createDataFrame([("a.md", "plain"), ("b.md", "x [!INCLUDE [i](a.md)] y"), ("c.md", "[!INCLUDE [i](gone.md)]"), ("d.md", "")], "rel_path string, body string")
+    out = links.expand_includes(docs, docs.select("rel_path", F.col("body").alias("content")))
+    got = {r["rel_path"]: (r["body"], r["resolved"], r["missing"]) for r in out.collect()}
+    assert got == {"a.md": ("plain", 0, 0), "b.md": ("x plain y", 1, 0), "c.md": ("<!-- missing include: gone.md -->", 0, 1), "d.md": ("", 0, 0)}
+
+
+def test_a_tree_without_known_kinds_has_no_documents(spark):
+    rows = spark.createDataFrame([("j", "s", "x.png", b"1")], "job_id string, source string, relative_path string, content binary")
+    assert process(rows).count() == 0
