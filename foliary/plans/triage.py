@@ -8,6 +8,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from foliary.batches import bound_batches
 from foliary.functions import scores
 from foliary.functions.text import first_errors
 from foliary.operators.corpus import seeded_rank, similarity_histogram
@@ -106,6 +107,7 @@ def triage_with_pre_score(pages: DataFrame, files: DataFrame, engine: Engine, bu
 
 def triage_report(pages: DataFrame, weights: dict[str, float] | None = None) -> DataFrame:
     """The report of a calibration run, as texts: page, signals, score, and quality of the cheap text. Nothing is repaired."""
+    bound_batches(pages.sparkSession)
     four = lambda c: F.format_string("%.4f", F.col(c))
     scored = score_pages(pages, weights).withColumn("qm", quality_metrics("text"))
     metrics = [F.col("qm.parse_ok").cast("int").alias("qm_parse_ok"), *[F.col(f"qm.{n}").alias(f"qm_{n}") for n in ("heading_count", "section_count", "table_count", "table_cell_count")], F.format_string("%.3f", "qm.structural_density_per_1k").alias("qm_structural_density_per_1k"), F.col("qm.median_section_chars").alias("qm_median_section_chars")]
